@@ -69,7 +69,8 @@ def train_test_split(df: DataFrame, group_cols: Sequence[str] = (), id_col: str
     keyed = df.select(*group_cols, F.col(id_col), h.alias("_h"))
     sizes = {tuple(r[:len(group_cols)]): r["_n"]
              for r in keyed.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).collect()}
-    targets = [(k, math.ceil(test_fraction * n - 1e-12) - 1) for k, n in sizes.items()]
+    # Same float arithmetic as the reference split: ceil(fraction * n) test rows.
+    targets = [(k, math.ceil(test_fraction * n) - 1) for k, n in sizes.items()]
     targets = [(k, m) for k, m in targets if m >= 0]
     cut = select_ranks(keyed, group_cols, "_h", targets)
     thresholds = {targets[i][0]: int(v) for i, v in cut.items()}
