@@ -126,15 +126,32 @@ def radius_point_aggregate(targets: DataFrame, reference: DataFrame, radius_km:
     else:
         keys = ["cy", "cx"]
 
-    chord2 = (F.pow(F.col("_tx") - F.col("_rx"), 2) + F.pow(F.col("_ty") - F.col("_ry"), 2)
-              + F.pow(F.col("_tz") - F.col("_rz"), 2))
+    # The inputs are small in bytes but the pair work is not: left alone,
+    # AQE would coalesce the distinct points into one partition and run the
+    # whole join in a single task. Both sides are hash-partitioned on the
+    # join key with an explicit count (never coalesced), so the join is
+    # co-partitioned and spread over the cluster; salted hot cells land in
+    # different partitions.
+    n = join_partitions(targets.sparkSession)
+    tgt = tgt.repartition(n, *keys)
+    ref = ref.repartition(n, *keys)
+    # Plain products, not pow(): this runs once per candidate pair.
+    dx, dy, dz = (F.col("_tx") - F.col("_rx"), F.col("_ty") - F.col("_ry"), F.col("_tz") - F.col("_rz"))
+    chord2 = dx * dx + dy * dy + dz * dz
     within = ((chord2 <= F.lit(c2 * (1 - _BAND)))
               | ((chord2 <= F.lit(c2 * (1 + _BAND)))
                  & (haversine_km(t_lat, t_lon, r_lat, r_lon) <= F.lit(float(radius_km)))))
-    return (tgt.join(ref, keys).filter(within)
+    return (tgt.join(ref.hint("shuffle_hash"), keys).filter(within)
             .groupBy(t_lat, t_lon).agg(*[F.sum(s).alias(s) for s in sums]))
 
 
+def join_partitions(spark) -> int:
+    """Partitions for the pair-generating join: the configured shuffle
+    partitions, at least four per available core."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+
+
 def distinct_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
                     t_lat: str = "t_lat", t_lon: str = "t_lon") -> DataFrame:
     return (df.select(F.col(lat).alias(t_lat), F.col(lon).alias(t_lon))

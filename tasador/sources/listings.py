@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import table
+from .tables import spread, table
 
 LISTINGS_SCHEMA = T.StructType([
     T.StructField("listing_id", T.LongType()),
@@ -89,7 +89,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     is left to Catalyst/AQE, which broadcasts it only when its measured size
     is under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merge joins
     otherwise."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     j = (o.join(c, o.o_custkey == c.c_custkey)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import spread, table
 
 # The POI kinds counted per listing.
 POI_KINDS = ["restaurant", "park", "subway_station"]
@@ -14,7 +14,7 @@ POI_KINDS = ["restaurant", "park", "subway_station"]
 def pois(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pois``: one point of interest per customer row."""
     k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
+    return spread(table(spark, sf_dir, "customer")).select(
         k.alias("poi_id"),
         F.when(k % 3 == 0, F.lit("restaurant")).when(k % 3 == 1, F.lit("park"))
          .otherwise(F.lit("subway_station")).alias("kind"),
