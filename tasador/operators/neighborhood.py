@@ -15,10 +15,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .quantiles import exact_medians
 from .radius import HOT_CELL_POINTS, distinct_points, radius_point_aggregate
 
@@ -55,10 +55,13 @@ def radius_stats(targets: DataFrame, reference: DataFrame, id_col: str = "listin
 
     ``fallback=False`` leaves the no-neighbour rows as ``n_nearby = 0`` with
     NULL statistics (A5-A7); ``fallback=True`` applies A8."""
-    summary = summary or reference_summary(reference, measure)
+    # The reference feeds several passes (summary, median refinement, grid
+    # bounds, hot cells, the join): read it once, keep three columns.
+    ref = materialize(reference.select("latitude", "longitude", measure))
+    summary = summary or reference_summary(ref, measure)
     shift = summary["mean"] if summary["mean"] is not None else 0.0
-    ref_pts = reference_points(reference, shift, measure).persist(StorageLevel.MEMORY_AND_DISK)
-    tgt_pts = distinct_points(targets)
+    ref_pts = materialize(reference_points(ref, shift, measure))
+    tgt_pts = materialize(distinct_points(targets))
     agg = radius_point_aggregate(tgt_pts, ref_pts, radius_km, ["n_rows", "n_meas", "s1", "s2"],
                                  hot_cell_points=hot_cell_points)
     keep = keep or []

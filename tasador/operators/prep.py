@@ -10,6 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .quantiles import exact_medians, select_ranks
 
 
@@ -66,7 +67,8 @@ def train_test_split(df: DataFrame, group_cols: Sequence[str] = (), id_col: str
         return (train_test_split(df.withColumn("_all", F.lit(0)), ["_all"], id_col, test_fraction, seed, exact)
                 .drop("_all"))
     group_cols = list(group_cols)
-    keyed = df.select(*group_cols, F.col(id_col), h.alias("_h"))
+    # Group, id and hash feed every selection pass: computed once.
+    keyed = materialize(df.select(*group_cols, F.col(id_col), h.alias("_h")))
     sizes = {tuple(r[:len(group_cols)]): r["_n"]
              for r in keyed.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).collect()}
     # Same float arithmetic as the reference split: ceil(fraction * n) test rows.

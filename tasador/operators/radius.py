@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from ..functions.geo import EARTH_RADIUS_KM, chord2_for_radius, haversine_km, unit_vector
 
 HOT_CELL_POINTS = 200_000
+CELLS_PER_RADIUS = 2
 MAX_BROADCAST_HOT_CELLS = 100_000
 _BAND = 1e-9
 
@@ -87,7 +88,14 @@ def radius_point_aggregate(targets: DataFrame, reference: DataFrame, radius_km:
     over all reference points with ``haversine <= radius_km``; targets with
     no match are absent (callers left-join)."""
     mlat = max_abs_lat((targets, t_lat), (reference, r_lat))
-    lat_step, ncx, lon_step = grid_steps(mlat, radius_km)
+    # Cells of r/k; neighbours up to k cells away. For small radii (all of
+    # city scale) a neighbour cell is kept only if its nearest edge can lie
+    # within r of the target: a planar lower bound in cell units (one cell
+    # is at least r/k km in both directions), exact to ~1e-7 relative at
+    # r/R < 0.01 and applied with a 2 % margin. Candidates drop from 9 r^2
+    # (3x3 cells of r) to about 5.7 r^2 for k = 2.
+    k = CELLS_PER_RADIUS if radius_km / EARTH_RADIUS_KM < 0.01 else 1
+    lat_step, ncx, lon_step = grid_steps(mlat, radius_km / k)
     c2 = chord2_for_radius(radius_km)
 
     rx, ry, rz = unit_vector(r_lat, r_lon)
@@ -97,12 +105,24 @@ def radius_point_aggregate(targets: DataFrame, reference: DataFrame, radius_km:
                            rcy.alias("cy"), rcx.alias("cx"))
 
     tx, ty, tz = unit_vector(t_lat, t_lon)
-    tcy, tcx = _cells(F.col(t_lat), F.col(t_lon), lat_step, ncx, lon_step)
-    nbrs = F.array_distinct(F.array(*[
-        F.struct((tcy + F.lit(dy)).alias("cy"), F.pmod(tcx + F.lit(dx), F.lit(ncx)).alias("cx"))
-        for dy in (-1, 0, 1) for dx in (-1, 0, 1)]))
+    yy = (F.col(t_lat) + F.lit(90.0)) / F.lit(lat_step)
+    xx = (F.col(t_lon) + F.lit(180.0)) / F.lit(lon_step)
+    tcy, tcx = F.floor(yy).cast("bigint"), F.pmod(F.floor(xx).cast("bigint"), F.lit(ncx))
+    fy, fx = yy - F.floor(yy), xx - F.floor(xx)
+    offsets = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"))
+                        for dy in range(-k, k + 1) for dx in range(-k, k + 1)])
+    lim = (k * 1.02) ** 2
+
+    def gap(d, f):
+        return F.greatest(F.lit(0.0), d.cast("double") - f, f - (d.cast("double") + F.lit(1.0)))
+
+    near = F.filter(offsets, lambda o: gap(o["dy"], F.col("_fy")) * gap(o["dy"], F.col("_fy"))
+                    + gap(o["dx"], F.col("_fx")) * gap(o["dx"], F.col("_fx")) <= F.lit(lim)) if k > 1 else offsets
+    nbrs = F.array_distinct(F.transform(near, lambda o: F.struct(
+        (F.col("_cy") + o["dy"]).alias("cy"), F.pmod(F.col("_cx") + o["dx"], F.lit(ncx)).alias("cx"))))
     tgt = (targets.select(F.col(t_lat), F.col(t_lon), tx.alias("_tx"), ty.alias("_ty"), tz.alias("_tz"),
-                          F.explode(nbrs).alias("_c"))
+                          tcy.alias("_cy"), tcx.alias("_cx"), fy.alias("_fy"), fx.alias("_fx"))
+           .select(t_lat, t_lon, "_tx", "_ty", "_tz", F.explode(nbrs).alias("_c"))
            .select(t_lat, t_lon, "_tx", "_ty", "_tz", F.col("_c.cy").alias("cy"), F.col("_c.cx").alias("cx")))
 
     # Hot cells: many distinct reference points in one cell.

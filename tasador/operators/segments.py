@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.segments import DEFAULT_SEGMENTS, Segment, price_range_api, segment_expr, segments_df
+from ..session import materialize
 from .quantiles import exact_medians
 
 # ---------------------------------------------------------------------------
@@ -83,7 +84,9 @@ def segment_stats(df: DataFrame, segments=DEFAULT_SEGMENTS, price: str = "price"
     price per segment, with half-open membership as in the analysis
     reports. Shares are over *all* input rows, including rows outside every
     segment."""
-    labelled = df.select(half_open_expr(F.col(price), segments).alias("segment"), F.col(price).alias("_p"))
+    # Two narrow columns feed the count, the moments and the median passes.
+    labelled = materialize(df.select(half_open_expr(F.col(price), segments).alias("segment"),
+                                     F.col(price).alias("_p")))
     total = labelled.count()
     g = (labelled.filter(F.col("segment").isNotNull()).groupBy("segment")
          .agg(F.count(F.lit(1)).alias("n"), F.avg("_p").alias("mean"), F.stddev_samp("_p").alias("std")))

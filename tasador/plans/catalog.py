@@ -26,4 +26,4 @@ def register(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from . import (q_eval, q_geo, q_listings, q_ml, q_requests, q_segments)  # noqa: F401
+    from . import (q_eval, q_geo, q_listings, q_ml, q_requests, q_segments, q_sources)  # noqa: F401

@@ -55,3 +55,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage.
+
+    With a checkpoint folder named by the cluster (``spark.checkpoint.dir``)
+    this is an eager ``checkpoint()``: the rows are written to that shared,
+    reliable storage, so later stages neither recompute the upstream plan
+    nor lose the data with an executor. Without one (plain local runs) it
+    falls back to ``persist(MEMORY_AND_DISK)``."""
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if checkpoint_dir(df.sparkSession):
+        # Persist first so the checkpoint write reads the cached rows
+        # instead of recomputing the plan a second time.
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
+        return out
+    return cached

@@ -12,8 +12,8 @@ MATRIX = [[1128, 261, 0], [429, 2084, 251], [0, 137, 648]]
 def test_classification_metrics_from_published_matrix(spark):
     rows = [(LABELS[i], LABELS[j], n) for i in range(3) for j in range(3) for n in [MATRIX[i][j]]]
     # Expand to one row per test example so the operator sees raw pairs.
-    df = spark.createDataFrame(rows, "a string, p string, n long").select(
-        "a", "p", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_")).filter(F.col("_") > 0)
+    df = spark.createDataFrame(rows, "a string, p string, n long").filter("n > 0").select(
+        "a", "p", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_"))
     cm = E.confusion_matrix(df, "a", "p", LABELS)
     rep = {r["label"]: r for r in E.classification_report(cm).collect()}
     assert rep["weighted"]["accuracy"] == pytest.approx(0.7816929931146213, abs=1e-12)
