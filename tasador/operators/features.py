@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geo import (COMMERCIAL_AREAS, CULTURAL_LANDMARKS, GREEN_SPACES, LANDMARKS,
+from ..functions.geo import (COMMERCIAL_AREAS, CULTURAL_LANDMARKS, GREEN_SPACES,
                              NEAREST_LANDMARK_SET, WATERFRONT_KM, inverse_distance,
                              landmark_distance_columns, min_distance)
 from .neighborhood import RADIUS_KM, area_vs_neighborhood, radius_stats

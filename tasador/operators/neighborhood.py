@@ -92,11 +92,11 @@ def poi_counts(targets: DataFrame, pois: DataFrame, kinds: list[str], id_col: st
     """Number of points of interest of each kind within ``radius_km`` (J8):
     columns ``<kind>s_nearby``. Kinds are a caller-given list, so the pivot
     is a fixed set of conditional sums (no extra pass to discover values)."""
-    ref = (pois.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-           .groupBy(F.col("latitude").alias("r_lat"), F.col("longitude").alias("r_lon"))
-           .agg(*[F.count_if(F.col("kind") == F.lit(k)).alias(f"{k}s_nearby") for k in kinds]))
+    ref = materialize(pois.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+                      .groupBy(F.col("latitude").alias("r_lat"), F.col("longitude").alias("r_lon"))
+                      .agg(*[F.count_if(F.col("kind") == F.lit(k)).alias(f"{k}s_nearby") for k in kinds]))
     sums = [f"{k}s_nearby" for k in kinds]
-    agg = radius_point_aggregate(distinct_points(targets), ref, radius_km, sums,
+    agg = radius_point_aggregate(materialize(distinct_points(targets)), ref, radius_km, sums,
                                  hot_cell_points=hot_cell_points)
     t = targets.select(id_col, F.col("latitude").alias("t_lat"), F.col("longitude").alias("t_lon"))
     return (t.join(agg, ["t_lat", "t_lon"], "left")

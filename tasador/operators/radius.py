@@ -33,7 +33,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.geo import EARTH_RADIUS_KM, chord2_for_radius, haversine_km, unit_vector
 

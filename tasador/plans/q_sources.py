@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
-from ..session import checkpoint_dir
+from ..session import ensure_checkpoint_dir
 from ..sources.quarantine import quarantine
 from ..sources.requests import requests as requests_view
 from ..sources.tables import table
@@ -45,7 +45,7 @@ def stream_validate_requests(spark, sf):
     checkpoint folder, a Structured Streaming query (availableNow) validates
     them into a parquet sink, and the sink is the result -- equal to the
     batch validation."""
-    base = checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark)  # the cluster's folder; a scratch one only if unset
     run = os.path.join(base, f"stream-validate-{uuid.uuid4().hex}")
     src, sink, ck = (os.path.join(run, x) for x in ("source", "sink", "checkpoint"))
     requests_view(spark, sf).write.parquet(src)
