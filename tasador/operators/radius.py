@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_RADIUS_KM, chord2_for_radius, haversine_km, unit_vector
 
 HOT_CELL_POINTS = 200_000
-CELLS_PER_RADIUS = 2
+CELLS_PER_RADIUS = 4
 MAX_BROADCAST_HOT_CELLS = 100_000
 _BAND = 1e-9
 
@@ -64,38 +64,51 @@ def _cells(lat: Column, lon: Column, lat_step: float, ncx: int, lon_step: float)
     return cy, cx
 
 
-def max_abs_lat(*pairs: tuple[DataFrame, str]) -> float:
-    """Largest |latitude| over the given (frame, column) pairs: one small
-    aggregate per side (column-pruned scan, partial aggregation)."""
-    m = 0.0
+def abs_lat_range(*pairs: tuple[DataFrame, str]) -> tuple[float, float]:
+    """Smallest and largest |latitude| over the given (frame, column) pairs:
+    one small aggregate per side (column-pruned scan, partial aggregation)."""
+    lo, hi = 90.0, 0.0
     for df, c in pairs:
-        v = df.agg(F.max(F.abs(F.col(c)))).first()[0]
-        if v is not None:
-            m = max(m, float(v))
-    return m
+        r = df.agg(F.min(F.abs(F.col(c))).alias("lo"), F.max(F.abs(F.col(c))).alias("hi")).first()
+        if r["hi"] is not None:
+            lo, hi = min(lo, float(r["lo"])), max(hi, float(r["hi"]))
+    return min(lo, hi), hi
 
 
 def radius_point_aggregate(targets: DataFrame, reference: DataFrame, radius_km: float,
                            sums: Sequence[str], t_lat: str = "t_lat", t_lon: str = "t_lon",
                            r_lat: str = "r_lat", r_lon: str = "r_lon",
-                           hot_cell_points: int = HOT_CELL_POINTS) -> DataFrame:
-    """Core of J1/J8 on distinct points.
+                           hot_cell_points: int = HOT_CELL_POINTS,
+                           cells_per_radius: int = CELLS_PER_RADIUS) -> DataFrame:
+    """Core of J1/J8 on distinct points (two-level grid).
 
     ``targets``: distinct ``(t_lat, t_lon)`` (non-NULL).
     ``reference``: one row per distinct ``(r_lat, r_lon)`` carrying additive
     columns ``sums`` (counts, sums). Returns ``(t_lat, t_lon, *sums)`` summed
     over all reference points with ``haversine <= radius_km``; targets with
-    no match are absent (callers left-join)."""
-    mlat = max_abs_lat((targets, t_lat), (reference, r_lat))
-    # Cells of r/k; neighbours up to k cells away. For small radii (all of
-    # city scale) a neighbour cell is kept only if its nearest edge can lie
-    # within r of the target: a planar lower bound in cell units (one cell
-    # is at least r/k km in both directions), exact to ~1e-7 relative at
-    # r/R < 0.01 and applied with a 2 % margin. Candidates drop from 9 r^2
-    # (3x3 cells of r) to about 5.7 r^2 for k = 2.
-    k = CELLS_PER_RADIUS if radius_km / EARTH_RADIUS_KM < 0.01 else 1
-    lat_step, ncx, lon_step = grid_steps(mlat, radius_km / k)
+    no match are absent (callers left-join).
+
+    Cells are ``r/k`` wide. For each target, every cell up to ``k`` away is
+    classified with planar bounds in cell units: *skipped* when even its
+    nearest edge is farther than ``r`` (lower bound: one cell is at least
+    ``r/k`` km in both directions), *interior* when its farthest corner is
+    within ``r`` (upper bound from the largest km-per-cell over the data's
+    latitude range, a rigorous bound on the haversine), else *edge*. Interior
+    cells contribute their pre-aggregated sums (one row per cell); only edge
+    cells are checked point by point. Per-target work is then proportional
+    to the circle's perimeter times the density plus ``(2k)^2`` cells,
+    instead of its area times the density. Bounds carry a 2 % (lower) and
+    0.1 % (upper) margin and are used only at city scale (r/R < 0.01);
+    larger radii use 3x3 cells of ``r`` without classification.
+    """
+    lo_lat, hi_lat = abs_lat_range((targets, t_lat), (reference, r_lat))
+    small = radius_km / EARTH_RADIUS_KM < 0.01
+    k = cells_per_radius if small else 1
+    lat_step, ncx, lon_step = grid_steps(hi_lat, radius_km / k)
     c2 = chord2_for_radius(radius_km)
+    unit_min = radius_km / k                                   # km per cell, lower bound
+    ly_max = EARTH_RADIUS_KM * math.radians(lat_step)          # km per lat cell
+    lx_max = EARTH_RADIUS_KM * math.cos(math.radians(lo_lat)) * math.radians(lon_step)
 
     rx, ry, rz = unit_vector(r_lat, r_lon)
     rcy, rcx = _cells(F.col(r_lat), F.col(r_lon), lat_step, ncx, lon_step)
@@ -108,39 +121,62 @@ def radius_point_aggregate(targets: DataFrame, reference: DataFrame, radius_km:
     xx = (F.col(t_lon) + F.lit(180.0)) / F.lit(lon_step)
     tcy, tcx = F.floor(yy).cast("bigint"), F.pmod(F.floor(xx).cast("bigint"), F.lit(ncx))
     fy, fx = yy - F.floor(yy), xx - F.floor(xx)
-    offsets = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"))
+    offsets = F.array(*[F.struct(F.lit(float(dy)).alias("dy"), F.lit(float(dx)).alias("dx"))
                         for dy in range(-k, k + 1) for dx in range(-k, k + 1)])
-    lim = (k * 1.02) ** 2
 
-    def gap(d, f):
-        return F.greatest(F.lit(0.0), d.cast("double") - f, f - (d.cast("double") + F.lit(1.0)))
+    # Explode the fixed offset list and classify with ordinary column
+    # expressions (generate + filter stay inside whole-stage codegen).
+    base = (targets.select(F.col(t_lat), F.col(t_lon), tx.alias("_tx"), ty.alias("_ty"), tz.alias("_tz"),
+                           tcy.alias("_cy"), tcx.alias("_cx"), fy.alias("_fy"), fx.alias("_fx"),
+                           F.explode(offsets).alias("_o")))
+    dy_, dx_, fyc, fxc = F.col("_o.dy"), F.col("_o.dx"), F.col("_fy"), F.col("_fx")
+    gy = F.greatest(F.lit(0.0), dy_ - fyc, fyc - (dy_ + F.lit(1.0)))   # nearest, in cells
+    gx = F.greatest(F.lit(0.0), dx_ - fxc, fxc - (dx_ + F.lit(1.0)))
+    hy = F.greatest(F.abs(dy_ - fyc), F.abs(dy_ + F.lit(1.0) - fyc))   # farthest, in cells
+    hx = F.greatest(F.abs(dx_ - fxc), F.abs(dx_ + F.lit(1.0) - fxc))
+    if small:
+        keep = (gy * gy + gx * gx) * F.lit(unit_min ** 2) <= F.lit((radius_km * 1.02) ** 2)
+        inner_flag = (hy * hy * F.lit(ly_max ** 2) + hx * hx * F.lit(lx_max ** 2)
+                      <= F.lit((radius_km * (1 - 1e-3)) ** 2))
+    else:
+        keep, inner_flag = F.lit(True), F.lit(False)
+    wraps = ncx < 2 * k + 1        # longitude offsets alias each other (poles, huge radii)
+    tgt = (base.filter(keep)
+           .select(t_lat, t_lon, "_tx", "_ty", "_tz",
+                   (F.col("_cy") + dy_.cast("bigint")).alias("cy"),
+                   F.pmod(F.col("_cx") + dx_.cast("bigint"), F.lit(ncx)).alias("cx"),
+                   (F.lit(False) if wraps else inner_flag).alias("_inner")))
+    if wraps:
+        tgt = tgt.dropDuplicates([t_lat, t_lon, "cy", "cx"])
+    n = join_partitions(targets.sparkSession)
 
-    near = F.filter(offsets, lambda o: gap(o["dy"], F.col("_fy")) * gap(o["dy"], F.col("_fy"))
-                    + gap(o["dx"], F.col("_fx")) * gap(o["dx"], F.col("_fx")) <= F.lit(lim)) if k > 1 else offsets
-    nbrs = F.array_distinct(F.transform(near, lambda o: F.struct(
-        (F.col("_cy") + o["dy"]).alias("cy"), F.pmod(F.col("_cx") + o["dx"], F.lit(ncx)).alias("cx"))))
-    tgt = (targets.select(F.col(t_lat), F.col(t_lon), tx.alias("_tx"), ty.alias("_ty"), tz.alias("_tz"),
-                          tcy.alias("_cy"), tcx.alias("_cx"), fy.alias("_fy"), fx.alias("_fx"))
-           .select(t_lat, t_lon, "_tx", "_ty", "_tz", F.explode(nbrs).alias("_c"))
-           .select(t_lat, t_lon, "_tx", "_ty", "_tz", F.col("_c.cy").alias("cy"), F.col("_c.cx").alias("cx")))
+    # Level 1: interior cells take the cell's pre-aggregated sums (one row
+    # per non-empty cell, so no skew on that side).
+    cell_sums = ref.groupBy("cy", "cx").agg(*[F.sum(s).alias(s) for s in sums])
+    inner = (tgt.filter(F.col("_inner")).select(t_lat, t_lon, "cy", "cx").repartition(n, "cy", "cx")
+             .join(cell_sums.repartition(n, "cy", "cx"), ["cy", "cx"])
+             .select(t_lat, t_lon, *sums))
 
-    # Hot cells: many distinct reference points in one cell.
+    # Level 2: edge cells, point by point. Cells holding many distinct
+    # reference points are salted so no single task owns a dense cell.
+    edge_t = tgt.filter(~F.col("_inner")).drop("_inner")
     hot = (ref.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > F.lit(hot_cell_points))
            .select("cy", "cx", F.ceil(F.col("_n") / F.lit(float(hot_cell_points))).cast("int").alias("_ns")))
     hot_rows = hot.limit(MAX_BROADCAST_HOT_CELLS + 1).collect()
+    edge_r = ref
     if hot_rows:
         if len(hot_rows) <= MAX_BROADCAST_HOT_CELLS:
             hot_t = F.broadcast(targets.sparkSession.createDataFrame(hot_rows, hot.schema))
         else:
             hot_t = hot
-        ref = (ref.join(hot_t, ["cy", "cx"], "left")
-               .withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
-                           .otherwise(F.pmod(F.xxhash64(r_lat, r_lon), F.col("_ns")).cast("int")))
-               .drop("_ns"))
-        tgt = (tgt.join(hot_t, ["cy", "cx"], "left")
-               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)))
-               .drop("_ns"))
+        edge_r = (ref.join(hot_t, ["cy", "cx"], "left")
+                  .withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
+                              .otherwise(F.pmod(F.xxhash64(r_lat, r_lon), F.col("_ns")).cast("int")))
+                  .drop("_ns"))
+        edge_t = (edge_t.join(hot_t, ["cy", "cx"], "left")
+                  .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)))
+                  .drop("_ns"))
         keys = ["cy", "cx", "_salt"]
     else:
         keys = ["cy", "cx"]
@@ -151,17 +187,16 @@ def radius_point_aggregate(targets: DataFrame, reference: DataFrame, radius_km:
     # join key with an explicit count (never coalesced), so the join is
     # co-partitioned and spread over the cluster; salted hot cells land in
     # different partitions.
-    n = join_partitions(targets.sparkSession)
-    tgt = tgt.repartition(n, *keys)
-    ref = ref.repartition(n, *keys)
+    edge_t = edge_t.repartition(n, *keys)
+    edge_r = edge_r.repartition(n, *keys)
     # Plain products, not pow(): this runs once per candidate pair.
     dx, dy, dz = (F.col("_tx") - F.col("_rx"), F.col("_ty") - F.col("_ry"), F.col("_tz") - F.col("_rz"))
     chord2 = dx * dx + dy * dy + dz * dz
     within = ((chord2 <= F.lit(c2 * (1 - _BAND)))
               | ((chord2 <= F.lit(c2 * (1 + _BAND)))
                  & (haversine_km(t_lat, t_lon, r_lat, r_lon) <= F.lit(float(radius_km)))))
-    return (tgt.join(ref.hint("shuffle_hash"), keys).filter(within)
-            .groupBy(t_lat, t_lon).agg(*[F.sum(s).alias(s) for s in sums]))
+    edge = edge_t.join(edge_r.hint("shuffle_hash"), keys).filter(within).select(t_lat, t_lon, *sums)
+    return inner.unionByName(edge).groupBy(t_lat, t_lon).agg(*[F.sum(s).alias(s) for s in sums])
 
 
 def join_partitions(spark) -> int:

@@ -81,3 +81,19 @@ def test_haversine_matches_python(spark):
     df = spark.createDataFrame([(-34.6, -58.4, -34.61, -58.38)], "a double, b double, c double, d double")
     v = df.select(haversine_km("a", "b", "c", "d").alias("d")).first()["d"]
     assert v == pytest.approx(_hav(-34.6, -58.4, -34.61, -58.38), rel=1e-12)
+
+
+def test_dense_two_level_equals_brute_force(spark):
+    # Dense enough that most cells of r/k lie fully inside each circle, so the
+    # interior (pre-aggregated) path carries most of the matches.
+    rnd = random.Random(5)
+    refs = [(i, rnd.uniform(20, 300), -34.6 + rnd.random() * 0.03, -58.4 + rnd.random() * 0.03)
+            for i in range(3000)]
+    tgts = [(10_000 + i, 1.0, -34.6 + rnd.random() * 0.03, -58.4 + rnd.random() * 0.03) for i in range(40)]
+    got = {x["listing_id"]: x for x in radius_stats(spark.createDataFrame(tgts, SCHEMA),
+                                                      spark.createDataFrame(refs, SCHEMA),
+                                                      radius_km=1.0, fallback=False).collect()}
+    want = _brute(tgts, refs, r=1.0)
+    for tid, (n, mean) in want.items():
+        assert got[tid]["n_nearby"] == n
+        assert got[tid]["neighborhood_area_mean"] == pytest.approx(mean, rel=1e-9)
