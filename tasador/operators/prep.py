@@ -69,12 +69,14 @@ def train_test_split(df: DataFrame, group_cols: Sequence[str] = (), id_col: str
     group_cols = list(group_cols)
     # Group, id and hash feed every selection pass: computed once.
     keyed = materialize(df.select(*group_cols, F.col(id_col), h.alias("_h")))
-    sizes = {tuple(r[:len(group_cols)]): r["_n"]
-             for r in keyed.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    rows = keyed.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_h").alias("_lo"),
+                                          F.max("_h").alias("_hi")).collect()
+    sizes = {tuple(r[:len(group_cols)]): r["_n"] for r in rows}
+    hstats = {tuple(r[:len(group_cols)]): (r["_n"], float(r["_lo"]), float(r["_hi"])) for r in rows}
     # Same float arithmetic as the reference split: ceil(fraction * n) test rows.
     targets = [(k, math.ceil(test_fraction * n) - 1) for k, n in sizes.items()]
     targets = [(k, m) for k, m in targets if m >= 0]
-    cut = select_ranks(keyed, group_cols, "_h", targets)
+    cut = select_ranks(keyed, group_cols, "_h", targets, stats=hstats)
     thresholds = {targets[i][0]: int(v) for i, v in cut.items()}
     # Rows strictly below the cut-off hash, and how many ties sit on it.
     spark = df.sparkSession

@@ -43,7 +43,7 @@ def _targets_df(spark, key_cols, key_types, state):
 
 def select_ranks(df: DataFrame, key_cols: Sequence[str], value_col: str,
                  targets: Sequence[tuple[tuple, int]], bins: int = BINS,
-                 collect_limit: int = COLLECT_LIMIT) -> dict[int, float]:
+                 collect_limit: int = COLLECT_LIMIT, stats: dict | None = None) -> dict[int, float]:
     """Exact ``rank``-th smallest (0-based) non-NULL ``value_col`` within the
     group ``key`` for every ``(key, rank)`` target. Returns ``{target index:
     value}``; a target whose rank is outside its group is left out."""
@@ -52,11 +52,12 @@ def select_ranks(df: DataFrame, key_cols: Sequence[str], value_col: str,
     data = df.select(*key_cols, F.col(value_col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     key_types = [df.schema[k].dataType for k in key_cols]
 
-    # Pass 0: group sizes and ranges.
-    stats = {tuple(r[:len(key_cols)]): (r["_n"], r["_lo"], r["_hi"]) for r in
-             data.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
-                                         F.max("_x").alias("_hi")).collect()} if key_cols else None
-    if not key_cols:
+    # Pass 0: group sizes and ranges (skipped when the caller has them).
+    if stats is None and key_cols:
+        stats = {tuple(r[:len(key_cols)]): (r["_n"], r["_lo"], r["_hi"]) for r in
+                 data.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
+                                             F.max("_x").alias("_hi")).collect()}
+    elif stats is None:
         r = data.agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")).first()
         stats = {(): (r["_n"], r["_lo"], r["_hi"])}
 
@@ -126,9 +127,11 @@ def exact_medians(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in value_cols
     ])).alias("_kv")).select(*group_cols, "_kv.column", "_kv.value")
     keys = group_cols + ["column"]
-    # One small row per (group, column): sizes only, never values.
-    n_of = {tuple(r[k] for k in keys): r["_n"] for r in
-            stacked.groupBy(*keys).agg(F.count("value").alias("_n")).collect()}
+    # One small row per (group, column): size and range, never values.
+    rows = stacked.groupBy(*keys).agg(F.count("value").alias("_n"), F.min("value").alias("_lo"),
+                                      F.max("value").alias("_hi")).collect()
+    n_of = {tuple(r[k] for k in keys): r["_n"] for r in rows}
+    stats = {tuple(r[k] for k in keys): (r["_n"], r["_lo"], r["_hi"]) for r in rows if r["_n"]}
     all_keys = list(n_of)
     targets = []
     for key in all_keys:
@@ -136,7 +139,7 @@ def exact_medians(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence
         if n:
             targets.append((key, (n - 1) // 2))
             targets.append((key, n // 2))
-    got = select_ranks(stacked, keys, "value", targets, **kw)
+    got = select_ranks(stacked, keys, "value", targets, stats=stats, **kw)
     out = []
     for i in range(0, len(targets), 2):
         key = targets[i][0]
