@@ -7,11 +7,11 @@ from collections.abc import Sequence
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .quantiles import exact_medians, select_ranks
+from .quantiles import MAX_SELECT_GROUPS, exact_medians, select_ranks
 
 
 def medians_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -70,7 +70,16 @@ def train_test_split(df: DataFrame, group_cols: Sequence[str] = (), id_col: str
     # Group, id and hash feed every selection pass: computed once.
     keyed = materialize(df.select(*group_cols, F.col(id_col), h.alias("_h")))
     rows = keyed.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_h").alias("_lo"),
-                                          F.max("_h").alias("_hi")).collect()
+                                          F.max("_h").alias("_hi")).limit(MAX_SELECT_GROUPS + 1).collect()
+    if len(rows) > MAX_SELECT_GROUPS:
+        # Many small groups: a per-group window is cheap and the cut-off
+        # tables would no longer be small enough to broadcast.
+        w = Window.partitionBy(*group_cols).orderBy("_h", id_col)
+        ranked = df.withColumn("_h", h).select(
+            "*", F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(Window.partitionBy(*group_cols))
+            .alias("_gn"))
+        return ranked.withColumn("is_test", F.col("_rn") <= F.ceil(F.lit(test_fraction) * F.col("_gn"))) \
+            .drop("_h", "_rn", "_gn")
     sizes = {tuple(r[:len(group_cols)]): r["_n"] for r in rows}
     hstats = {tuple(r[:len(group_cols)]): (r["_n"], float(r["_lo"]), float(r["_hi"])) for r in rows}
     # Same float arithmetic as the reference split: ceil(fraction * n) test rows.

@@ -31,6 +31,10 @@ from pyspark.sql import types as T
 
 BINS = 1024
 COLLECT_LIMIT = 4096
+# Rank selection suits few, possibly huge groups (segments, columns): the
+# driver tracks one small state per (group, rank). Beyond this many groups
+# the groups are small on average and Spark's per-group ``median`` is used.
+MAX_SELECT_GROUPS = 20_000
 
 
 def _targets_df(spark, key_cols, key_types, state):
@@ -128,8 +132,11 @@ def exact_medians(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence
     ])).alias("_kv")).select(*group_cols, "_kv.column", "_kv.value")
     keys = group_cols + ["column"]
     # One small row per (group, column): size and range, never values.
-    rows = stacked.groupBy(*keys).agg(F.count("value").alias("_n"), F.min("value").alias("_lo"),
-                                      F.max("value").alias("_hi")).collect()
+    sizing = stacked.groupBy(*keys).agg(F.count("value").alias("_n"), F.min("value").alias("_lo"),
+                                        F.max("value").alias("_hi"))
+    rows = sizing.limit(MAX_SELECT_GROUPS + 1).collect()
+    if len(rows) > MAX_SELECT_GROUPS:
+        return stacked.groupBy(*keys).agg(F.median("value").alias("median"))
     n_of = {tuple(r[k] for k in keys): r["_n"] for r in rows}
     stats = {tuple(r[k] for k in keys): (r["_n"], r["_lo"], r["_hi"]) for r in rows if r["_n"]}
     all_keys = list(n_of)

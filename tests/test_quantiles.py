@@ -43,3 +43,18 @@ def test_exact_split_sizes(spark):
     a = sorted(r["listing_id"] for r in s.filter("is_test").collect())
     b = sorted(r["listing_id"] for r in train_test_split(df, ["g"]).filter("is_test").collect())
     assert a == b
+
+
+def test_many_groups_fallbacks(spark, monkeypatch):
+    from tasador.operators import prep, quantiles
+    monkeypatch.setattr(quantiles, "MAX_SELECT_GROUPS", 1)
+    monkeypatch.setattr(prep, "MAX_SELECT_GROUPS", 1)
+    df = spark.range(0, 501).select(F.col("id").alias("listing_id"), (F.col("id") % 4).alias("g"),
+                                    (F.col("id") * 1.5).alias("x"))
+    med = {r["g"]: r["median"] for r in exact_medians(df, ["x"], ["g"]).collect()}
+    for g in range(4):
+        vals = [i * 1.5 for i in range(501) if i % 4 == g]
+        assert med[g] == pytest.approx(float(np.median(vals)))
+    s = train_test_split(df, ["g"])
+    for r in s.groupBy("g").agg(F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect():
+        assert r["t"] == math.ceil(0.2 * r["n"])
