@@ -124,16 +124,16 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_filter: Column | None =
                 group_cols: Sequence[str] = (), suffix: str = "") -> DataFrame:
     """M3: ``(x - mean) / std`` with **population** std computed on the
     fitting rows (train split) only, per group; a zero std divides by 1.
-    The statistics are one grouped aggregate (a row per group) joined back;
-    groups are few (segments), so the statistics table is tiny."""
+    The statistics are one grouped aggregate (a row per group) joined back."""
     group_cols = list(group_cols)
     if not group_cols:
         return standardize(df.withColumn("_all", F.lit(0)), cols, fit_filter, ["_all"], suffix).drop("_all")
     fit = df.filter(fit_filter) if fit_filter is not None else df
     stats = fit.groupBy(*group_cols).agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
                                          *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
-    # One row per group (segments): bounded by the configuration.
-    j = df.join(F.broadcast(stats), group_cols, "left")
+    # One row per group: AQE broadcasts it after measuring its real size
+    # (a few segments), and falls back to a shuffled join for many groups.
+    j = df.join(stats, group_cols, "left")
     out = [F.col(c) for c in df.columns if c not in cols or suffix]
     for c in cols:
         sd = F.col(f"_sd_{c}")
