@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_RADIUS_KM, chord2_for_radius, haversine_km, unit_vector
 
 HOT_CELL_POINTS = 200_000
-CELLS_PER_RADIUS = 4
 MAX_BROADCAST_HOT_CELLS = 100_000
 _BAND = 1e-9
 
@@ -75,11 +74,26 @@ def abs_lat_range(*pairs: tuple[DataFrame, str]) -> tuple[float, float]:
     return min(lo, hi), hi
 
 
+def choose_cells_per_radius(reference: DataFrame, radius_km: float, max_abs_lat_deg: float,
+                            r_lat: str = "r_lat", r_lon: str = "r_lon") -> int:
+    """Cell refinement from the data's density: the mean number of distinct
+    reference points per occupied cell of size ``r``. Interior cells cost
+    one row each and edge cells cost their points, so finer cells pay off
+    as density grows: ``k ~ sqrt(points per r-cell / 64)``, clamped to
+    [2, 8]. One small aggregate (cells of ``r``)."""
+    lat_step, ncx, lon_step = grid_steps(max_abs_lat_deg, radius_km)
+    cy, cx = _cells(F.col(r_lat), F.col(r_lon), lat_step, ncx, lon_step)
+    r = (reference.groupBy(cy.alias("cy"), cx.alias("cx")).agg(F.count(F.lit(1)).alias("n"))
+         .agg(F.avg("n").alias("m")).first())
+    m = r["m"] or 0.0
+    return int(min(8, max(2, round(math.sqrt(m / 64.0)))))
+
+
 def radius_point_aggregate(targets: DataFrame, reference: DataFrame, radius_km: float,
                            sums: Sequence[str], t_lat: str = "t_lat", t_lon: str = "t_lon",
                            r_lat: str = "r_lat", r_lon: str = "r_lon",
                            hot_cell_points: int = HOT_CELL_POINTS,
-                           cells_per_radius: int = CELLS_PER_RADIUS) -> DataFrame:
+                           cells_per_radius: int | None = None) -> DataFrame:
     """Core of J1/J8 on distinct points (two-level grid).
 
     ``targets``: distinct ``(t_lat, t_lon)`` (non-NULL).
@@ -103,6 +117,8 @@ def radius_point_aggregate(targets: DataFrame, reference: DataFrame, radius_km:
     """
     lo_lat, hi_lat = abs_lat_range((targets, t_lat), (reference, r_lat))
     small = radius_km / EARTH_RADIUS_KM < 0.01
+    if cells_per_radius is None:
+        cells_per_radius = choose_cells_per_radius(reference, radius_km, hi_lat, r_lat, r_lon) if small else 1
     k = cells_per_radius if small else 1
     lat_step, ncx, lon_step = grid_steps(hi_lat, radius_km / k)
     c2 = chord2_for_radius(radius_km)
