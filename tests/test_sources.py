@@ -49,3 +49,11 @@ def test_feature_columns_by_dtype(spark):
     df = spark.createDataFrame([(1.0, "USD", 2, True, "x", 3.0)],
                                "price double, currency string, bedrooms int, flag boolean, location string, area double")
     assert feature_columns(df) == ["bedrooms", "area"]
+
+
+def test_metadata_sink(spark):
+    from tasador.sources.sinks import write_metadata
+    d = tempfile.mkdtemp(prefix="tasador-meta-", dir="/tmp")
+    doc = spark.createDataFrame([('{"overall_rmse": 1.0}',)], "metadata string")
+    write_metadata(doc, os.path.join(d, "m"))
+    assert json.loads(spark.read.text(os.path.join(d, "m")).first()[0]) == {"overall_rmse": 1.0}
