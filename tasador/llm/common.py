@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,16 @@ from pyspark.sql import functions as F
 from tasador.session import checkpoint_dir
 
 
+@lru_cache(maxsize=None)
+def ship_package(application_id: str) -> None:
+    """Send this package to the executors, whose Python need not have it installed."""
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "tasador"), "zip", top, "tasador")
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark.sparkContext.applicationId)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
