@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sentencepiece_codec, simhash
+from . import line_dedup, packing, sentencepiece_codec, simhash
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,29 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+LINES_SQL = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM docs),
+keyed AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+frequent AS (
+  SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT k.doc_id, k.pos, k.line, f.key IS NOT NULL AND k.doc_id <> f.holder AS lost FROM keyed k LEFT JOIN frequent f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@register("op4_line_dedup", LINES_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @register("op6_sentencepiece")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
