@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, sentencepiece_codec, simhash
-from .common import read_table
+from . import arc_to_warc, line_dedup, packing, sentencepiece_codec, simhash
+from .common import read_table, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,27 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+WARC_SQL = """
+WITH raw AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+digits AS (
+  SELECT hex AS h, string_agg(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 10 * (k // 8), 10))::BIGINT >> (35 - 5 * (k % 8))) & 31)::INT, 1), '' ORDER BY k) AS payload_digest
+  FROM (SELECT DISTINCT hex FROM raw), range(32) r(k) GROUP BY hex),
+kept AS (SELECT html, max(page_id) AS newest FROM raw GROUP BY html)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM raw JOIN digits ON hex = h JOIN kept USING (html)
+"""
+
+
+@register("op2_arc_to_warc", WARC_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = arc_to_warc.pages_to_warc(read_table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 LINES_SQL = """
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
