@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_to_warc, line_dedup, packing, sentencepiece_codec, simhash
+from . import arc_to_warc, bloom_lm, line_dedup, packing, sentencepiece_codec, simhash
 from .common import read_table, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register("op3_bloom_lm")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 LINES_SQL = """
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
