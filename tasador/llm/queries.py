@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_to_warc, bloom_lm, line_dedup, packing, sentencepiece_codec, simhash
+from . import arc_to_warc, bloom_lm, langid, line_crf, line_dedup, packing, sentencepiece_codec, simhash
 from .common import read_table, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@register("op5_line_crf")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return line_crf.quality(docs, line_crf.train(docs, read_table(spark, sf_dir, "labels"))).drop("line_labels")
+
+
 @register("op6_sentencepiece")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -93,6 +99,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@register("op7_langid")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs, declared=F.col("lang"), host=F.col("source"))
+    return found.select("doc_id", F.col("lang").alias("declared"), "language", "posterior", "text_posterior", F.col("accepted").alias("kept"))
+
+
 @register("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, threshold=2)
