@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_to_warc, bloom_lm, langid, line_crf, line_dedup, packing, sentencepiece_codec, simhash
+from . import arc_to_warc, bloom_lm, langid, line_crf, line_dedup, packing, sentencepiece_codec, simhash, topk
 from .common import read_table, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,24 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS d FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM e q JOIN e c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@register("op1_topk", TOPK_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 WARC_SQL = """
 WITH raw AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
