@@ -128,7 +128,8 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_char
     lost = written(repeated_lines(df, key, text, min_chars, min_docs, batches, fanout), "lost")
     drop = [c for c in df.columns if c.lower() in ("kept_text", "n_lines", "n_dropped", "__doc", "__drop")]
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    joined = df.drop(*drop).join(lost.select(F.col("doc").alias("__doc"), F.col("drop").alias("__drop")), F.col(key) == F.col("__doc"), "left")
+    lost = lost.select(F.col("doc").alias("__doc"), F.col("drop").alias("__drop")).hint("merge")  # the same plan at every size
+    joined = df.drop(*drop).join(lost, F.col(key) == F.col("__doc"), "left")
     kept = F.when(F.col("__drop").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(F.filter(lines, lambda line, pos: ~F.array_contains("__drop", pos)), "\n"))
     return joined.select(
         *[F.col(c) for c in df.columns if c not in drop],
