@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_to_warc, bloom_lm, langid, line_crf, line_dedup, packing, sentencepiece_codec, simhash, topk
+from . import arc_to_warc, bloom_lm, langid, line_crf, line_dedup, packing, pii, sentencepiece_codec, simhash, topk
 from .common import read_table, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, threshold=2)
+
+
+@register("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    counts = [pii.count(F.col("base_spans"), k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
