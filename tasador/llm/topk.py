@@ -78,9 +78,10 @@ class Block:
                 break
             end = min(n, depth + step)
             rows = np.where(down[:, None], self.order[used, n - end : n - depth], self.order[used, depth:end]) if len(used) else np.arange(n)
-            new = np.unique(rows)
-            new = new[~met[new]]
-            met[new] = True
+            here = np.zeros(n, dtype=bool)
+            here[rows] = True
+            new = np.flatnonzero(here & ~met)
+            met |= here
             found, scores = best(np.concatenate([found, self.ids[new]]), np.concatenate([scores, products(self.vectors[new], query)]), k)
             depth, step = (end, step * 2) if len(used) else (n, step)
         return found, scores
