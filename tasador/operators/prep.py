@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .quantiles import MAX_SELECT_GROUPS, exact_medians, select_ranks
+from .quantiles import MAX_SELECT_GROUPS, exact_medians, null_safe_join, select_ranks
 
 
 def medians_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -92,8 +92,7 @@ def train_test_split(df: DataFrame, group_cols: Sequence[str] = (), id_col: str
     key_rows = [tuple(k) + (t, m + 1) for (k, m), t in ((tg, thresholds[tg[0]]) for tg in targets)]
     schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group_cols] +
                        ["_t bigint", "_m bigint"])
-    tdf = F.broadcast(spark.createDataFrame(key_rows, schema))
-    j = keyed.join(tdf, group_cols)
+    j = null_safe_join(keyed, spark.createDataFrame(key_rows, schema), group_cols)
     counts = {tuple(r[:len(group_cols)]): (r["_lt"], r["_eq"]) for r in
               j.groupBy(*group_cols).agg(F.count_if(F.col("_h") < F.col("_t")).alias("_lt"),
                                          F.count_if(F.col("_h") == F.col("_t")).alias("_eq")).collect()}
@@ -111,9 +110,9 @@ def train_test_split(df: DataFrame, group_cols: Sequence[str] = (), id_col: str
     rows = [tuple(k) + (thresholds[k], id_cut.get(k)) for k, _ in targets]
     schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group_cols] +
                        ["_t bigint", "_idcut double"])
-    cuts = F.broadcast(spark.createDataFrame(rows, schema))
+    cuts = spark.createDataFrame(rows, schema)
     base = df.withColumn("_h", h)
-    j2 = base.join(cuts, group_cols, "left")
+    j2 = null_safe_join(base, cuts, group_cols, "left")
     is_test = ((F.col("_h") < F.col("_t"))
                | ((F.col("_h") == F.col("_t"))
                   & (F.col("_idcut").isNull() | (F.col(id_col).cast("double") <= F.col("_idcut")))))

@@ -45,6 +45,32 @@ def _targets_df(spark, key_cols, key_types, state):
     return spark.createDataFrame(rows, T.StructType(fields))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left`` joined to the broadcast ``right`` on ``<=>`` of the keys, so a
+    NULL group meets its own row; the keys of ``right`` are left out."""
+    if not keys:
+        return left.join(F.broadcast(right))
+    renamed = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                           *[c for c in right.columns if c not in keys])
+    on = None
+    for i, k in enumerate(keys):
+        c = left[k].eqNullSafe(F.col(f"_k{i}"))
+        on = c if on is None else on & c
+    return left.join(F.broadcast(renamed), on, how).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def _bin(x, lo, hi, bins: int):
+    """Bin number, monotone in ``x`` and not the same for ``lo`` and ``hi``:
+    infinite ends are bins of their own; halves keep the width finite; a width
+    too small to divide by parts the smallest value from the others."""
+    inf = float("inf")
+    width = hi / 2 - lo / 2
+    place = F.least(F.floor((x / 2 - lo / 2) / width * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+    return (F.when((lo == -inf) | (hi == inf), F.when(x == -inf, F.lit(-1)).when(x == inf, F.lit(1)).otherwise(F.lit(0)))
+            .when(width == 0, F.when(x > lo, F.lit(1)).otherwise(F.lit(0)))
+            .otherwise(place))
+
+
 def select_ranks(df: DataFrame, key_cols: Sequence[str], value_col: str,
                  targets: Sequence[tuple[tuple, int]], bins: int = BINS,
                  collect_limit: int = COLLECT_LIMIT, stats: dict | None = None) -> dict[int, float]:
@@ -53,7 +79,7 @@ def select_ranks(df: DataFrame, key_cols: Sequence[str], value_col: str,
     value}``; a target whose rank is outside its group is left out."""
     spark = df.sparkSession
     key_cols = list(key_cols)
-    data = df.select(*key_cols, F.col(value_col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    data = df.select(*key_cols, F.col(value_col).cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     key_types = [df.schema[k].dataType for k in key_cols]
 
     # Pass 0: group sizes and ranges (skipped when the caller has them).
@@ -83,7 +109,7 @@ def select_ranks(df: DataFrame, key_cols: Sequence[str], value_col: str,
         small = {t: s for t, s in state.items() if s["n"] <= collect_limit}
         if small:
             tdf = _targets_df(spark, key_cols, key_types, small)
-            rows = (data.join(F.broadcast(tdf), key_cols)
+            rows = (null_safe_join(data, tdf, key_cols)
                     .filter((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
                     .groupBy("_tid").agg(F.sort_array(F.collect_list("_x")).alias("_xs")).collect())
             for r in rows:
@@ -93,10 +119,8 @@ def select_ranks(df: DataFrame, key_cols: Sequence[str], value_col: str,
                 state.pop(t)
             continue
         tdf = _targets_df(spark, key_cols, key_types, state)
-        width = F.col("_hi") - F.col("_lo")
-        b = F.least(F.floor((F.col("_x") - F.col("_lo")) / width * F.lit(float(bins))).cast("int"),
-                    F.lit(bins - 1))
-        hist = (data.join(F.broadcast(tdf), key_cols)
+        b = _bin(F.col("_x"), F.col("_lo"), F.col("_hi"), bins)
+        hist = (null_safe_join(data, tdf, key_cols)
                 .filter((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
                 .groupBy("_tid", b.alias("_b"))
                 .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
@@ -106,7 +130,7 @@ def select_ranks(df: DataFrame, key_cols: Sequence[str], value_col: str,
             per.setdefault(r["_tid"], []).append((r["_b"], r["_c"], r["_mn"], r["_mx"]))
         for tid in list(state):
             s = state[tid]
-            below = 0
+            below, before = 0, (s["n"], s["lo"], s["hi"])
             for _, c, mn, mx in sorted(per.get(tid, [])):
                 if s["rank"] < below + c:
                     s["rank"] -= below
@@ -116,6 +140,8 @@ def select_ranks(df: DataFrame, key_cols: Sequence[str], value_col: str,
             if s["lo"] == s["hi"]:
                 result[tid] = s["lo"]
                 state.pop(tid)
+            elif (s["n"], s["lo"], s["hi"]) == before:
+                raise RuntimeError(f"rank selection made no progress for {s}")
     return result
 
 
@@ -128,7 +154,7 @@ def exact_medians(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence
     spark = df.sparkSession
     group_cols = list(group_cols)
     stacked = df.select(*group_cols, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in value_cols
+        F.struct(F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value")) for c in value_cols
     ])).alias("_kv")).select(*group_cols, "_kv.column", "_kv.value")
     keys = group_cols + ["column"]
     # One small row per (group, column): size and range, never values.

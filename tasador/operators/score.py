@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.segments import DEFAULT_SEGMENTS, price_range_api, segment_expr, segments_df
-from .ensemble import FAST, Bundle, fit_ensemble
+from .ensemble import REFERENCE, Bundle, fit_ensemble
 from .features import FEATURES_40, build_features
 from .prep import impute_median, median_values, train_test_split
 
@@ -41,7 +41,7 @@ def training_frame(clean: DataFrame, reference: DataFrame, group_by_segment: boo
     return f, {c: med[c] for c in usable}
 
 
-def train_models(frame: DataFrame, features: list[str], params: dict = FAST) -> dict[str, Bundle]:
+def train_models(frame: DataFrame, features: list[str], params: dict = REFERENCE) -> dict[str, Bundle]:
     """M7/M8: one ensemble per segment value present in the frame. The
     segment list is a handful of names; each fit is a set of distributed
     Spark ML jobs over that segment's rows."""
@@ -55,14 +55,17 @@ def train_models(frame: DataFrame, features: list[str], params: dict = FAST) ->
 
 def predict(frame: DataFrame, bundles: dict[str, Bundle]) -> DataFrame:
     """Per-segment transform and ``unionByName``; adds ``pred_a,
-    pred_b, pred_log, prediction`` (price space, no clamping)."""
+    pred_b, pred_log, prediction`` (price space, no clamping). Rows of a segment
+    without a bundle, or without one at all, stay with NULL predictions."""
     parts = []
     for name, b in bundles.items():
         p = b.predict_log(frame.filter(F.col("segment") == name))
         parts.append(p.withColumn("prediction", F.expm1("pred_log")))
+    none = frame.filter(F.col("segment").isNull() | ~F.col("segment").isin(*bundles))
+    parts.append(none.withColumns({c: F.lit(None).cast("double") for c in ("pred_a", "pred_b", "pred_log", "prediction")}))
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 

@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (local tests, the benchmark) fall back to a fresh scratch folder."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that they share")
         d = tempfile.mkdtemp(prefix="tasador-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -3,7 +3,7 @@
 Two entry points with one output schema:
 
 * :func:`read_listings_csv` reads a listings CSV the way a user of the
-  original scripts would have it: header row, explicit schema, pandas-style
+  original scripts would have it: columns by header name, pandas-style
   NA tokens mapped to NULL, NaN mapped to NULL.
 * :func:`listings` derives the test view from ``orders x customer x nation``
   (FIXTURES.md). It is a pure projection of the orders table plus two
@@ -54,25 +54,29 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_listings_csv(spark: SparkSession, path: str, schema: T.StructType = LISTINGS_SCHEMA) -> DataFrame:
-    """CSV scan with an explicit schema (no inference pass over the data).
+    """CSV scan by the names in the header line, whatever their order.
 
     Fields are read as strings, NA tokens become NULL, then ``try_cast``
-    gives each column its type; a value that does not parse becomes NULL
-    instead of failing the job."""
-    raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (spark.read.schema(raw_schema)
-           .option("header", "true").option("mode", "PERMISSIVE")
+    gives each column of ``schema`` its type; a value that does not parse
+    becomes NULL instead of failing the job, a column that the file lacks is
+    all NULL. Further columns follow in the file's order, as double where all
+    their values are numbers (one aggregate over them), else as strings."""
+    raw = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
            .option("nullValue", "").option("emptyValue", "")
            .csv(path))
     na = F.array(*[F.lit(t) for t in PANDAS_NA_TOKENS])
-    cols = []
-    for f in schema.fields:
-        s = F.trim(F.col(f.name))
-        s = F.when(F.array_contains(na, s), F.lit(None)).otherwise(s)
-        if isinstance(f.dataType, T.StringType):
-            cols.append(s.alias(f.name))
-        else:
-            cols.append(s.try_cast(f.dataType).alias(f.name))
+
+    def text(name: str) -> Column:
+        s = F.trim(F.col(f"`{name}`"))
+        return F.when(F.array_contains(na, s), F.lit(None)).otherwise(s)
+
+    known = {f.name for f in schema.fields}
+    extra = [c for c in raw.columns if c not in known]
+    cols = [(text(f.name) if f.name in raw.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
+            for f in schema.fields]
+    if extra:
+        odd = raw.agg(*[F.count_if(text(c).isNotNull() & text(c).try_cast("double").isNull()).alias(c) for c in extra]).first()
+        cols += [(text(c).try_cast("double") if odd[c] == 0 else text(c)).alias(c) for c in extra]
     return nan_to_null(raw.select(*cols))
 
 

@@ -17,6 +17,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.segments import DEFAULT_SEGMENTS
 from ..operators.score import responses, score_requests
 from ..operators.validate import validate
 from ..sources.requests import parse_requests
@@ -27,8 +28,10 @@ REQUEST_STREAM_SCHEMA = "request_id bigint, event_time timestamp_ntz, payload st
 def score_batch(batch: DataFrame, reference: DataFrame, bundles: dict, medians: dict,
                 summary: dict | None = None) -> DataFrame:
     """Everything for one set of requests: validation outcome for all of
-    them, prediction and response body for the valid ones."""
-    v = validate(parse_requests(batch, keep_variant=True))
+    them, prediction and response body for the valid ones; as many rows out as
+    in."""
+    segments = [s for s in DEFAULT_SEGMENTS if s.name in bundles]  # the endpoint offers what it has loaded
+    v = validate(parse_requests(batch, keep_variant=True), segments)
     ok = v.filter(F.col("status_code") == 200)
     scored = responses(score_requests(ok, reference, bundles, medians, summary))
     bad = v.filter(F.col("status_code") != 200).select(
