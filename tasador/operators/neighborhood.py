@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import broadcast_checked, materialize
 from .quantiles import exact_medians
 from .radius import HOT_CELL_POINTS, distinct_points, radius_point_aggregate
 
@@ -110,12 +110,12 @@ def loo_means(df: DataFrame, cols: list[str], by: str = "location", id_col: str
 
     Written as a grouped aggregate joined back on the key, not a window: the
     aggregate is partial/final with O(1) state, so a group holding a third
-    of all rows never sits in one task; the join back is many-to-one (AQE
-    broadcasts the small side or splits a skewed partition)."""
+    of all rows never sits in one task; the join back broadcasts the table
+    of groups if its counted size allows."""
     g = df.groupBy(by).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols],
                            *[F.count(c).alias(f"_n_{c}") for c in cols],
                            *[F.avg(c).alias(f"_m_{c}") for c in cols])
-    j = df.select(id_col, by, *cols).join(g, by, "left")
+    j = df.select(id_col, by, *cols).join(broadcast_checked(g), by, "left")
     out = [F.col(id_col), F.col(by)]
     for c in cols:
         x, s, n = F.col(c), F.col(f"_s_{c}"), F.col(f"_n_{c}")

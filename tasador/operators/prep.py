@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import broadcast_checked, materialize
 from .quantiles import MAX_SELECT_GROUPS, exact_medians, null_safe_join, select_ranks
 
 
@@ -130,9 +130,8 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_filter: Column | None =
     fit = df.filter(fit_filter) if fit_filter is not None else df
     stats = fit.groupBy(*group_cols).agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
                                          *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
-    # One row per group: AQE broadcasts it after measuring its real size
-    # (a few segments), and falls back to a shuffled join for many groups.
-    j = df.join(stats, group_cols, "left")
+    # One row per group: no row of df is shuffled on a hot group.
+    j = df.join(broadcast_checked(stats), group_cols, "left")
     out = [F.col(c) for c in df.columns if c not in cols or suffix]
     for c in cols:
         sd = F.col(f"_sd_{c}")

@@ -59,6 +59,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def broadcast_checked(df, rows: int = 100_000):
+    """``df``, computed once, marked for broadcast if it has at most ``rows``
+    rows; beyond that as it is, for Spark to join by a shuffle. For tables of
+    one row a group, joined back to all rows: these then stay where they are."""
+    from pyspark.sql import functions as F
+    small = materialize(df)
+    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+
+
 def materialize(df):
     """Compute ``df`` once and cut its lineage.
 
