@@ -122,3 +122,24 @@ def loo_means(df: DataFrame, cols: list[str], by: str = "location", id_col: str
         out.append(F.col(f"_m_{c}").alias(f"neighborhood_{c}_mean"))
         out.append(F.when(x.isNotNull() & (n > 1), (s - x) / (n - 1)).alias(f"neighborhood_{c}{suffix}"))
     return j.select(*out)
+
+
+def loo_means_radius(df: DataFrame, cols: list[str], radius_km: float = RADIUS_KM, id_col: str = "listing_id",
+                     suffix: str = "_radius_mean") -> DataFrame:
+    """Means over the *other* rows within ``radius_km`` (A9 by radius): the
+    radius sums and counts less the row's own value. NULL where no other row
+    there has a value, and for rows without coordinates."""
+    sums = [f"_{k}_{c}" for c in cols for k in ("s", "n")]
+    ref = materialize(df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+                      .groupBy(F.col("latitude").alias("r_lat"), F.col("longitude").alias("r_lon"))
+                      .agg(*[f(c).alias(f"_{k}_{c}") for c in cols for k, f in (("s", F.sum), ("n", F.count))]))
+    agg = radius_point_aggregate(materialize(distinct_points(df)), ref, radius_km, sums)
+    located = F.col("t_lat").isNotNull() & F.col("t_lon").isNotNull()
+    t = df.select(id_col, F.col("latitude").alias("t_lat"), F.col("longitude").alias("t_lon"), *cols)
+    # Rows without coordinates match nothing: they stay out of the join.
+    j = t.filter(located).join(agg, ["t_lat", "t_lon"], "left").unionByName(t.filter(~located), allowMissingColumns=True)
+    out = [F.col(id_col)]
+    for c in cols:
+        x, s, n = F.col(c), F.col(f"_s_{c}"), F.col(f"_n_{c}") - F.col(c).isNotNull().cast("int")
+        out.append(F.when(n > 0, (s - F.coalesce(x, F.lit(0))) / n).alias(f"{c}{suffix}"))
+    return j.select(*out)
