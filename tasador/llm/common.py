@@ -33,7 +33,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     setting; it then gets a scratch folder of this machine."""
     base = checkpoint_dir(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir is not set: a shared folder is needed")
         base = tempfile.mkdtemp(prefix="tasador-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
