@@ -40,10 +40,11 @@ FEATURES_40 = [
     "premium_x_area", "premium_x_accessibility", "centrality_x_tier_premium",
 ]
 
-FEATURES_45 = FEATURES_40[:35] + [
+GROUP_MEANS = [
     "neighborhood_bathrooms_mean", "neighborhood_bedrooms_mean",
     "neighborhood_area_loo_mean", "neighborhood_bathrooms_loo_mean", "neighborhood_bedrooms_loo_mean",
-] + FEATURES_40[35:]
+]
+FEATURES_45 = FEATURES_40[:35] + GROUP_MEANS + FEATURES_40[35:]
 
 NON_FEATURE_COLUMNS = ["price", "currency", "location", "neighborhood_tier"]
 # ---------------------------------------------------------------------------

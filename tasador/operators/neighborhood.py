@@ -104,9 +104,10 @@ def poi_counts(targets: DataFrame, pois: DataFrame, kinds: list[str], id_col: st
 
 
 def loo_means(df: DataFrame, cols: list[str], by: str = "location", id_col: str = "listing_id",
-              suffix: str = "_loo_mean") -> DataFrame:
+              suffix: str = "_loo_mean", keep: list[str] | None = None) -> DataFrame:
     """Leave-one-out group means (A9): ``(sum_g(x) - x) / (count_g(x) - 1)``;
     NULL when the row's own value is NULL or the group has no other value.
+    The columns of ``keep`` stay.
 
     Written as a grouped aggregate joined back on the key, not a window: the
     aggregate is partial/final with O(1) state, so a group holding a third
@@ -115,8 +116,9 @@ def loo_means(df: DataFrame, cols: list[str], by: str = "location", id_col: str
     g = df.groupBy(by).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols],
                            *[F.count(c).alias(f"_n_{c}") for c in cols],
                            *[F.avg(c).alias(f"_m_{c}") for c in cols])
-    j = df.select(id_col, by, *cols).join(broadcast_checked(g), by, "left")
-    out = [F.col(id_col), F.col(by)]
+    keep = [c for c in keep or [] if c not in (id_col, by)]
+    j = df.select(*dict.fromkeys([id_col, by, *keep, *cols])).join(broadcast_checked(g), by, "left")
+    out = [F.col(c) for c in (id_col, by, *keep)]
     for c in cols:
         x, s, n = F.col(c), F.col(f"_s_{c}"), F.col(f"_n_{c}")
         out.append(F.col(f"_m_{c}").alias(f"neighborhood_{c}_mean"))

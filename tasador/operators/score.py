@@ -1,7 +1,7 @@
 """Training pipelines and request scoring.
 
-``training_frame`` builds the 40 features of the cleaned listings (one radius
-join), imputes global medians (exact, distributed), adds the log target,
+``training_frame`` builds the 40 or 45 features of the cleaned listings (one radius
+join; the five further ones are location means), imputes global medians (exact, distributed), adds the log target,
 the segment and the exact per-segment split, and is persisted once for all
 fits. ``score_requests`` routes each valid request to its segment's bundle
 (a filter per segment, a transform, a union) -- models travel to the
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.segments import DEFAULT_SEGMENTS, price_range_api, segment_expr, segments_df
 from .ensemble import REFERENCE, Bundle, fit_ensemble
-from .features import FEATURES_40, build_features
+from .features import FEATURES_40, GROUP_MEANS, build_features
+from .neighborhood import loo_means
 from .prep import impute_median, median_values, train_test_split
 
 
@@ -30,7 +31,10 @@ def training_frame(clean: DataFrame, reference: DataFrame, group_by_segment: boo
     # The feature rows feed several passes (median refinement, split
     # cut-offs), so they are materialised once instead of re-running the
     # radius join per pass.
-    f = build_features(clean, reference, "listing_id", tier=tier, keep=["price"], summary=summary) \
+    means = [c for c in GROUP_MEANS if c in features]
+    if means:
+        clean = loo_means(clean, ["area", "bathrooms", "bedrooms"], keep=clean.columns)
+    f = build_features(clean, reference, "listing_id", tier=tier, keep=["price", *means], summary=summary) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     med = median_values(f, features)
     usable = [c for c in features if med.get(c) is not None]
