@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_to_warc, bloom_lm, langid, line_crf, line_dedup, packing, pii, sentencepiece_codec, simhash, topk
-from .common import read_table, shared_path
+from . import alignment, arc_to_warc, bloom_lm, collocations, langid, licences, line_crf, line_dedup, packing, pii, sentencepiece_codec, simhash, topk
+from .common import read_table, shared_path, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +135,58 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(docs, pii.fit(docs))
     counts = [pii.count(F.col("base_spans"), k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
+
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, unnest(pieces) AS piece, unnest(range(doc * 10000000, doc * 10000000 + len(pieces))) AS id FROM (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+      string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents)),
+split AS (SELECT lang, id, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+words AS (SELECT lang, id, unnest(ws) AS w1, unnest(range(len(ws))) AS pos FROM split),
+runs AS (SELECT lang, w1, lead(w1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY id ORDER BY pos)),
+sizes AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+f1 AS (SELECT lang, w1, count(*) AS f FROM runs GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+  LEFT JOIN longer o ON o.lang = c.lang AND o.w1 = c.w1 AND o.w2 = c.w2 WHERE o.f IS NULL OR 100 * o.f < 50 * c.f
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, x.f, y.f
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, x.f, y.f
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3),
+scored AS (SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+@register("op11_collocations", PHRASES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), max_words=3, least=10, covered=50, top=2000)
+
+
+@register("op12_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, model)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    aligned = written(aligned.select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "links"), "aligned")
+    counts = written(alignment.pair_counts(aligned, pieces=sentencepiece_codec.load(model).get_piece_size()), "pairs")
+    return alignment.count_links(aligned, counts)
+
+
+@register("op13_licences")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(read_table(spark, sf_dir, "documents"))
+    joined = {c: F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")}
+    return found.select(*[joined.get(c, c) for c in found.columns if c != "expressions"], F.array_join("expressions", "; ").alias("expressions"))
