@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +48,8 @@ class Words(dict):
 
 
 def occurrences(df: DataFrame, text: str, lang: str, chunk_words: int) -> DataFrame:
-    """R1 as chunks: (chunk, langs, words, ns, ids), the distinct words with their counts, and
-    the number of each occurrence's word in order, -1 after each piece. A text longer than
+    """R1 as chunks: (chunk, langs, of, words, ns, ids), the distinct words with their
+    language's place in langs and their counts, and the number of each occurrence's word in order, -1 after each piece. A text longer than
     a chunk is cut between pieces, a longer piece makes a longer chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,9 +64,10 @@ def occurrences(df: DataFrame, text: str, lang: str, chunk_words: int) -> DataFr
         def out() -> pa.RecordBatch:
             ids = np.concatenate(parts)
             ns = np.bincount(ids[ids >= 0], minlength=len(found))
-            row = [pa.array([chunk], pa.int64()), pa.array([[x for x, _ in found]], pa.list_(pa.string())), pa.array([[w for _, w in found]], pa.list_(pa.binary())),
-                   pa.array([ns.astype(np.int64)], pa.list_(pa.int64())), pa.array([ids.tobytes()], pa.binary())]
-            return pa.RecordBatch.from_arrays(row, names=["chunk", "langs", "words", "ns", "ids"])
+            langs = {x: k for k, x in enumerate(tables)}
+            row = {"chunk": (chunk, pa.int64()), "langs": (list(langs), pa.list_(pa.string())), "of": ([langs[x] for x, _ in found], pa.list_(pa.int32())), "words": ([w for _, w in found], pa.list_(pa.binary())),
+                   "ns": (ns.astype(np.int64), pa.list_(pa.int64())), "ids": (ids.tobytes(), pa.binary())}
+            return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in row.values()], names=list(row))
 
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -86,7 +86,7 @@ def occurrences(df: DataFrame, text: str, lang: str, chunk_words: int) -> DataFr
             yield out()
 
     docs = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"))
-    return docs.mapInArrow(run, "chunk long, langs array<string>, words array<binary>, ns array<long>, ids binary")
+    return docs.mapInArrow(run, "chunk long, langs array<string>, of array<int>, words array<binary>, ns array<long>, ids binary")
 
 
 def runs(data: bytes, chunk_words: int) -> Iterator[bytes]:
@@ -144,10 +144,6 @@ def extend(relation: DataFrame, k: int) -> DataFrame:
     return relation.mapInArrow(run, "chunk long, no long, g long, w long, n long")
 
 
-def marks(kept: DataFrame) -> DataFrame:
-    return kept.groupBy("chunk").agg(F.collect_list("no").alias("nos"), F.collect_list("gid").alias("gids"))
-
-
 def relabel(numbers: np.ndarray, nos, gids) -> np.ndarray:
     """The numbers' group ids, -1 where the group is not frequent."""
     nos, gids = np.asarray(nos, dtype=np.int64), np.asarray(gids, dtype=np.int64)
@@ -156,32 +152,42 @@ def relabel(numbers: np.ndarray, nos, gids) -> np.ndarray:
     return table[numbers]  # -1 reads the last entry, which is -1
 
 
+RELATION = "chunk long, word binary, grp binary"
+
+
+def as_rows(chunk: int, word: np.ndarray, group: np.ndarray) -> pa.Table:
+    return pa.table({"chunk": pa.array([chunk], pa.int64()), "word": pa.array([word.tobytes()], pa.binary()), "grp": pa.array([group.tobytes()], pa.binary())})
+
+
+def semi_join(relation: DataFrame, kept: DataFrame, run) -> DataFrame:
+    """The relation's chunks, each with the frequent groups (no, gid) it holds."""
+    own = kept.select(F.col("chunk").alias("chunk"), "no", "gid")
+    return relation.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(run, RELATION)
+
+
 def first_relation(r1: DataFrame, kept: DataFrame) -> DataFrame:
     """(chunk, word, grp): R1 with the ids of frequent words, others and ends as -1."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, ids, nos, gids in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), strict=True):
-                word = relabel(np.frombuffer(ids.as_buffer(), dtype=np.int32), nos.values.to_numpy(), gids.values.to_numpy()).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([word], pa.binary()), pa.array([word], pa.binary())], names=["chunk", "word", "grp"])
+    def run(rows: pa.Table, own: pa.Table) -> pa.Table:
+        ids = np.frombuffer(rows.column("ids")[0].as_buffer(), dtype=np.int32)
+        word = relabel(ids, own.column("no").to_numpy(), own.column("gid").to_numpy())
+        return as_rows(rows.column("chunk")[0].as_py(), word, word)
 
-    return r1.select("chunk", "ids").join(marks(kept), "chunk").mapInArrow(run, "chunk long, word binary, grp binary")
+    return semi_join(r1.select("chunk", "ids"), kept, run)
 
 
 def next_relation(relation: DataFrame, kept: DataFrame, k: int) -> DataFrame:
-    """(chunk, word, grp): R(k + 1) of the frequent phrases, semi-joined chunk by chunk."""
+    """(chunk, word, grp): R(k + 1) of the frequent phrases."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, word, group, nos, gids in zip(batch.column(0).to_pylist(), *(batch.column(c) for c in range(1, 5)), strict=True):
-                word, group = (np.frombuffer(x.as_buffer(), dtype=np.int64) for x in (word, group))
-                at, gi, _, wi, w = merge_join(group, word, k)
-                _, no, _ = distinct(gi, wi, len(w))
-                out = np.full(len(word), -1, dtype=np.int64)
-                out[at] = relabel(no, nos.values.to_numpy(), gids.values.to_numpy())
-                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([word.tobytes()], pa.binary()), pa.array([out.tobytes()], pa.binary())], names=["chunk", "word", "grp"])
+    def run(rows: pa.Table, own: pa.Table) -> pa.Table:
+        word, group = (np.frombuffer(rows.column(c)[0].as_buffer(), dtype=np.int64) for c in ("word", "grp"))
+        at, gi, _, wi, w = merge_join(group, word, k)
+        _, no, _ = distinct(gi, wi, len(w))
+        out = np.full(len(word), -1, dtype=np.int64)
+        out[at] = relabel(no, own.column("no").to_numpy(), own.column("gid").to_numpy())
+        return as_rows(rows.column("chunk")[0].as_py(), word, out)
 
-    return relation.join(marks(kept), "chunk").mapInArrow(run, "chunk long, word binary, grp binary")
+    return semi_join(relation, kept, run)
 
 
 def exact_score(a: Column, left: Column, right: Column) -> Column:
@@ -191,7 +197,7 @@ def exact_score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", whole, wide(left, 18) * wide(right, 18))
 
 
-def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, least: int = 10, covered: int = 50, top: int = 2000, chunk_words: int = 1 << 21) -> DataFrame:
+def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, least: int = 10, covered: int = 50, top: int = 2000, chunk_words: int = 1 << 19) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` collocations
     of 2 to ``max_words`` words, ties by a falling, then phrase rising in UTF-8 order.
 
@@ -203,7 +209,8 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
     counts the language's words. Counts must be below 10**15 a phrase. Repeated rows count each; other columns are left out; an
     empty table gives no rows."""
     r1 = written(occurrences(df, text, lang, chunk_words), "occurrences")
-    word_rows = r1.select("chunk", F.posexplode(F.arrays_zip("langs", "words", "ns"))).select("chunk", F.col("pos").cast("long").alias("no"), F.col("col.langs").alias("lang"), F.col("col.words").alias("word"), F.col("col.ns").alias("n"))
+    word_rows = r1.select("chunk", "langs", F.posexplode(F.arrays_zip("of", "words", "ns")))
+    word_rows = word_rows.select("chunk", F.col("pos").cast("long").alias("no"), F.element_at("langs", F.col("col.of") + 1).alias("lang"), F.col("col.words").alias("word"), F.col("col.ns").alias("n"))
     sizes = written(word_rows.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     kept = written(count_groups(word_rows, ["lang", "word"], least).select("chunk", "no", "lang", "word", "row", "gid", "f"), "words")
     word_groups = groups(kept, ["lang", "word"])
