@@ -114,18 +114,28 @@ def groups(kept: DataFrame, keys: list[str]) -> DataFrame:
     return kept.filter(F.col("row") == F.col("gid")).select("gid", *keys, "f")
 
 
-def merge_join(group: np.ndarray, word: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """R(k) with R1 at the next position: (places, group number, groups, word number, words) of
-    the joined rows. ``group`` has the k-word phrase at each place, ``word`` the word; -1 is none,
-    as at the end of a piece, so no phrase runs on into another piece."""
+def merge_join(group: np.ndarray, word: np.ndarray, k: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """R(k) with R1 at the next position: (places, keys) of the joined rows. ``group``
+    numbers the k-word phrase at each place, ``word`` the word, of ``n_words`` different ones; -1 is
+    none, as at the end of a piece, so no phrase runs on into another piece. A key is group * n_words + word."""
     at = np.flatnonzero((group[: len(group) - k] >= 0) & (word[k:] >= 0))
-    g, gi = np.unique(group[at], return_inverse=True)
-    w, wi = np.unique(word[at + k], return_inverse=True)
-    return at, gi, g, wi, w
+    return at, group[at].astype(np.int64) * n_words + word[at + k]
 
 
-def distinct(gi: np.ndarray, wi: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.unique(gi * max(1, n_words) + wi, return_inverse=True, return_counts=True)
+#: A chunk of R(k): the numbers of the word and of the phrase at each place, and the ids that the
+#: chunk's numbers stand for; R1 has no phrases besides its words.
+RELATION = "chunk long, word binary, wids binary, grp binary, gids binary"
+
+
+def as_rows(chunk: int, word: np.ndarray, wids: np.ndarray, group: np.ndarray | None = None, gids: np.ndarray | None = None) -> pa.Table:
+    rows = {"chunk": pa.array([chunk], pa.int64())}
+    return pa.table(rows | {n: pa.array([x if x is None else x.tobytes()], pa.binary()) for n, x in (("word", word), ("wids", wids), ("grp", group), ("gids", gids))})
+
+
+def from_row(word, wids, grp, gids) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    read = lambda x, kind: np.frombuffer(x.as_buffer(), dtype=kind)
+    word, wids = read(word, np.int32), read(wids, np.int64)
+    return (word, wids, read(grp, np.int32), read(gids, np.int64)) if grp.is_valid else (word, wids, word, wids)
 
 
 def extend(relation: DataFrame, k: int) -> DataFrame:
@@ -133,32 +143,25 @@ def extend(relation: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, word, group in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                word, group = (np.frombuffer(x.as_buffer(), dtype=np.int64) for x in (word, group))
-                _, gi, g, wi, w = merge_join(group, word, k)
-                keys, _, n = distinct(gi, wi, len(w))
+            for row in range(batch.num_rows):
+                chunk = batch.column(0)[row].as_py()
+                word, wids, group, gids = from_row(*(batch.column(c)[row] for c in range(1, 5)))
+                keys, n = np.unique(merge_join(group, word, k, len(wids))[1], return_counts=True)
                 for at in range(0, len(keys), 1 << 16):
-                    a, b = np.divmod(keys[at : at + (1 << 16)], len(w))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), chunk)), pa.array(np.arange(at, at + len(a))), pa.array(g[a]), pa.array(w[b]), pa.array(n[at : at + len(a)])], names=["chunk", "no", "g", "w", "n"])
+                    a, b = np.divmod(keys[at : at + (1 << 16)], len(wids))
+                    columns = {"chunk": np.full(len(a), chunk), "no": np.arange(at, at + len(a)), "g": gids[a], "w": wids[b], "n": n[at : at + len(a)]}
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
 
     return relation.mapInArrow(run, "chunk long, no long, g long, w long, n long")
 
 
-def relabel(numbers: np.ndarray, nos, gids) -> np.ndarray:
-    """The numbers' group ids, -1 where the group is not frequent."""
-    nos, gids = np.asarray(nos, dtype=np.int64), np.asarray(gids, dtype=np.int64)
-    table = np.full(max(numbers.max(initial=-1), nos.max(initial=-1)) + 2, -1, dtype=np.int64)
-    table[nos] = gids
+def renumber(numbers: np.ndarray, nos: np.ndarray) -> np.ndarray:
+    """Numbers as their places in ``nos``, those of groups that are not frequent as -1."""
+    table = np.full(max(numbers.max(initial=-1), nos.max(initial=-1)) + 2, -1, dtype=np.int32)
+    table[nos] = np.arange(len(nos))
     return table[numbers]  # -1 reads the last entry, which is -1
 
 
-RELATION = "chunk long, word binary, grp binary"
-
-
-def as_rows(chunk: int, word: np.ndarray, group: np.ndarray) -> pa.Table:
-    return pa.table({"chunk": pa.array([chunk], pa.int64()), "word": pa.array([word.tobytes()], pa.binary()), "grp": pa.array([group.tobytes()], pa.binary())})
-
-
 def semi_join(relation: DataFrame, kept: DataFrame, run) -> DataFrame:
     """The relation's chunks, each with the frequent groups (no, gid) it holds."""
     own = kept.select(F.col("chunk").alias("chunk"), "no", "gid")
@@ -166,26 +169,24 @@ def semi_join(relation: DataFrame, kept: DataFrame, run) -> DataFrame:
 
 
 def first_relation(r1: DataFrame, kept: DataFrame) -> DataFrame:
-    """(chunk, word, grp): R1 with the ids of frequent words, others and ends as -1."""
+    """R1 with the frequent words only."""
 
     def run(rows: pa.Table, own: pa.Table) -> pa.Table:
         ids = np.frombuffer(rows.column("ids")[0].as_buffer(), dtype=np.int32)
-        word = relabel(ids, own.column("no").to_numpy(), own.column("gid").to_numpy())
-        return as_rows(rows.column("chunk")[0].as_py(), word, word)
+        return as_rows(rows.column("chunk")[0].as_py(), renumber(ids, own.column("no").to_numpy()), own.column("gid").to_numpy())
 
     return semi_join(r1.select("chunk", "ids"), kept, run)
 
 
 def next_relation(relation: DataFrame, kept: DataFrame, k: int) -> DataFrame:
-    """(chunk, word, grp): R(k + 1) of the frequent phrases."""
+    """R(k + 1) with the frequent phrases only."""
 
     def run(rows: pa.Table, own: pa.Table) -> pa.Table:
-        word, group = (np.frombuffer(rows.column(c)[0].as_buffer(), dtype=np.int64) for c in ("word", "grp"))
-        at, gi, _, wi, w = merge_join(group, word, k)
-        _, no, _ = distinct(gi, wi, len(w))
-        out = np.full(len(word), -1, dtype=np.int64)
-        out[at] = relabel(no, own.column("no").to_numpy(), own.column("gid").to_numpy())
-        return as_rows(rows.column("chunk")[0].as_py(), word, out)
+        word, wids, group, _ = from_row(*(rows.column(c)[0] for c in ("word", "wids", "grp", "gids")))
+        at, keys = merge_join(group, word, k, len(wids))
+        out = np.full(len(word), -1, dtype=np.int32)
+        out[at] = renumber(np.unique(keys, return_inverse=True)[1], own.column("no").to_numpy())
+        return as_rows(rows.column("chunk")[0].as_py(), word, wids, out, own.column("gid").to_numpy())
 
     return semi_join(relation, kept, run)
 
