@@ -1,24 +1,27 @@
 """Phrase collocations by SETM relational mining.
 
 The occurrence relation R1 holds a row (piece, position, word) for every word,
-sorted by piece and position; it is persisted as column blocks ("chunks", whole pieces, at most
+sorted by piece and position; it is persisted as column blocks ("chunks", whole pieces, about
 ``chunk_words`` words each). R(k+1) is the merge join of R(k) with R1 on
 the same piece and the position after the phrase: both are sorted the same way, so
 a chunk joins with itself. Each round then
 
-1. merge-joins, giving a row (chunk, group, n) for each distinct phrase of a chunk,
-2. counts the groups over all chunks (Spark's shuffle; a phrase has at most one row a
-   chunk, so a phrase in a third of all texts is no hot key),
+1. merge-joins, giving the distinct phrases of each chunk with their counts,
+2. counts the groups over all chunks: each chunk deals its phrases to buckets by a hash
+   of the phrase, Spark shuffles one row a chunk and bucket, and a task counts a
+   bucket (a phrase is there at most once a chunk, so a phrase in a third of
+   all texts is no hot key; buckets grow in number with the corpus, not in size),
 3. keeps the frequent groups and semi-joins the relation with them: the kept groups go
    back to their chunks, where rows of all others leave the relation, which is
    persisted again before the next length.
 
 Phrases are told apart by exact keys (the id of the phrase without its last word, and that
-word's id), never by hashes. Ids are given by the count, for each length anew: the number of the first row of the group.
+word's id), never by hashes. Ids are given by the count, for each length anew.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +34,7 @@ from .common import written
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 END = b"\xff"  # of a piece: no byte of UTF-8
 FOLD = bytes(255 if c in SEPARATORS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
-CHUNK_BITS = 24  # a chunk has fewer distinct phrases than 2 ** CHUNK_BITS
+BUCKET_WORDS = 1 << 19  # occurrences a bucket
 
 
 class Words(dict):
@@ -48,8 +51,9 @@ class Words(dict):
 
 
 def occurrences(df: DataFrame, text: str, lang: str, chunk_words: int) -> DataFrame:
-    """R1 as chunks: (chunk, langs, of, words, ns, ids), the distinct words with their
-    language's place in langs and their counts, and the number of each occurrence's word in order, -1 after each piece. A text longer than
+    """R1 as chunks: (chunk, langs, totals, of, words, ns, ids), the languages with
+    their numbers of words, the distinct words with their language's place in langs and their counts, and
+    the number of each occurrence's word in order, -1 after each piece. A text longer than
     a chunk is cut between pieces, a longer piece makes a longer chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,8 +69,10 @@ def occurrences(df: DataFrame, text: str, lang: str, chunk_words: int) -> DataFr
             ids = np.concatenate(parts)
             ns = np.bincount(ids[ids >= 0], minlength=len(found))
             langs = {x: k for k, x in enumerate(tables)}
-            row = {"chunk": (chunk, pa.int64()), "langs": (list(langs), pa.list_(pa.string())), "of": ([langs[x] for x, _ in found], pa.list_(pa.int32())), "words": ([w for _, w in found], pa.list_(pa.binary())),
-                   "ns": (ns.astype(np.int64), pa.list_(pa.int64())), "ids": (ids.tobytes(), pa.binary())}
+            of = np.array([langs[x] for x, _ in found], dtype=np.int32)
+            totals = np.bincount(of, weights=ns, minlength=len(langs)).astype(np.int64)
+            row = {"chunk": (chunk, pa.int64()), "langs": (list(langs), pa.list_(pa.string())), "totals": (totals, pa.list_(pa.int64())), "of": (of, pa.list_(pa.int32())),
+                   "words": ([w for _, w in found], pa.list_(pa.binary())), "ns": (ns.astype(np.int32), pa.list_(pa.int32())), "ids": (ids.tobytes(), pa.binary())}
             return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in row.values()], names=list(row))
 
         for batch in batches:
@@ -86,7 +92,7 @@ def occurrences(df: DataFrame, text: str, lang: str, chunk_words: int) -> DataFr
             yield out()
 
     docs = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"))
-    return docs.mapInArrow(run, "chunk long, langs array<string>, of array<int>, words array<binary>, ns array<long>, ids binary")
+    return docs.mapInArrow(run, "chunk long, langs array<string>, totals array<long>, of array<int>, words array<binary>, ns array<int>, ids binary")
 
 
 def runs(data: bytes, chunk_words: int) -> Iterator[bytes]:
@@ -101,17 +107,78 @@ def runs(data: bytes, chunk_words: int) -> Iterator[bytes]:
     yield data[at:] if at else data
 
 
-def count_groups(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Of ``rows`` (chunk, no, n, *keys), those of groups with at least ``least``
-    occurrences, with f (all of them) and gid, the number of the group's first row."""
-    w = Window.partitionBy(*keys)
-    rows = rows.withColumn("row", F.shiftleft("chunk", CHUNK_BITS) + F.col("no"))
-    return rows.withColumns({"f": F.sum("n").over(w), "gid": F.min("row").over(w)}).filter(F.col("f") >= least)
+def dealt(buckets: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order in which a chunk's groups go to their buckets, and where each bucket begins."""
+    order = np.argsort(buckets, kind="stable")
+    return order, np.searchsorted(buckets[order], np.arange(most + 1))
+
+
+def packed(chunk: int, buckets: np.ndarray, most: int, n: np.ndarray, keys: dict[str, pa.Array]) -> pa.RecordBatch:
+    """A row (bucket, chunk, n, *keys) of lists for each bucket that the chunk has groups for."""
+    order, begins = dealt(buckets, most)
+    used = np.flatnonzero(np.diff(begins))
+    offsets = pa.array(np.r_[begins[used], len(order)], pa.int32())
+    lists = {name: pa.ListArray.from_arrays(offsets, x.take(pa.array(order))) for name, x in {"n": pa.array(n, pa.int32()), **keys}.items()}
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk)), *lists.values()], names=["bucket", "chunk", *lists])
+
+
+def count_groups(rows: DataFrame, least: int) -> DataFrame:
+    """Of ``rows`` (bucket, chunk, n, *keys) the groups with at least ``least`` occurrences, twice: a
+    row without a chunk for each bucket, with the groups' gid, f (all occurrences) and keys, and
+    a row for each bucket and chunk, with the places (in the chunk's list) and gids of those it holds."""
+    keys = [f for f in rows.schema.fields if f.name not in ("bucket", "chunk", "n")]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        column = lambda name: table.column(name).combine_chunks()
+        sizes = column("n").value_lengths().to_numpy()
+        values = {f.name: column(f.name).flatten() for f in keys}
+        code = np.zeros(int(sizes.sum()), dtype=np.int64)
+        for x in values.values():
+            x = x.dictionary_encode()
+            code = code * max(1, len(x.dictionary)) + x.indices.to_numpy()
+        _, first, group = np.unique(code, return_index=True, return_inverse=True)
+        f = np.bincount(group, weights=column("n").flatten().to_numpy()).astype(np.int64)
+        often = f >= least
+        gid = np.where(often, (table.column("bucket")[0].as_py() << 32) + np.cumsum(often) - 1, -1)
+        ends = np.cumsum(sizes)
+        mine = np.flatnonzero(often[group])
+        place = mine - np.repeat(ends - sizes, sizes)[mine]
+        one = lambda x, kind: pa.array([x], pa.list_(kind))
+        lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(np.r_[0, np.searchsorted(mine, ends)], pa.int32()), pa.array(x, kind))
+        chosen = pa.array(first[often])
+        bucket = table.column("bucket").combine_chunks()
+        groups = [bucket[:1], pa.nulls(1, pa.int64()), one([], pa.int32()), one(gid[often], pa.int64()), one(f[often], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(chosen)], pa.int32()), x.take(chosen)) for x in values.values())]
+        marks = [bucket, column("chunk"), lists(place, pa.int32()), lists(gid[group[mine]], pa.int64()), *(pa.nulls(len(sizes), x.type) for x in groups[4:])]
+        return pa.concat_tables([pa.table(x, names=["bucket", "chunk", "place", "gid", "f", *values]) for x in (groups, marks)])
+
+    schema = ", ".join(["bucket int, chunk long, place array<int>, gid array<long>, f array<long>", *(f"{f.name} {f.dataType.simpleString()}" for f in keys)])
+    return rows.groupBy("bucket").applyInArrow(run, schema)
+
+
+def groups(kept: DataFrame, *keys: str) -> DataFrame:
+    """(gid, f, *keys): one row a group."""
+    return kept.filter(F.col("chunk").isNull()).select(F.explode(F.arrays_zip("gid", "f", *keys)).alias("r")).select("r.*")
+
+
+def word_groups(r1: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, chunk, n, lang, word): the distinct words of each chunk."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                chunk, langs, of, words, n = (batch.column(c)[row] for c in range(5))
+                langs, of, words = langs.values, of.values, words.values
+                bucket = word_buckets(words, langs.to_pylist(), of.to_numpy(), buckets)
+                yield packed(chunk.as_py(), bucket, buckets, n.values.to_numpy(), {"lang": langs.take(of), "word": words})
+
+    return r1.select("chunk", "langs", "of", "words", "ns").mapInArrow(run, "bucket int, chunk long, n array<int>, lang array<string>, word array<binary>")
 
-def groups(kept: DataFrame, keys: list[str]) -> DataFrame:
-    """(gid, *keys, f): one row a group."""
-    return kept.filter(F.col("row") == F.col("gid")).select("gid", *keys, "f")
+
+def word_buckets(words: pa.Array, langs: list[str], of: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each of a chunk's words, by a hash of language and word."""
+    seeds = [zlib.crc32(x.encode()) for x in langs]
+    return np.fromiter((zlib.crc32(w, seeds[k]) for w, k in zip(words.to_pylist(), of.tolist(), strict=True)), dtype=np.uint32, count=len(of)) % buckets
 
 
 def merge_join(group: np.ndarray, word: np.ndarray, k: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,55 +205,66 @@ def from_row(word, wids, grp, gids) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return (word, wids, read(grp, np.int32), read(gids, np.int64)) if grp.is_valid else (word, wids, word, wids)
 
 
-def extend(relation: DataFrame, k: int) -> DataFrame:
-    """(chunk, no, g, w, n): the distinct phrases of k + 1 words of each chunk."""
+def local_groups(word: np.ndarray, wids: np.ndarray, group: np.ndarray, gids: np.ndarray, k: int, buckets: int):
+    """Of a chunk's R(k + 1): (places, the distinct phrase at each, the phrases' counts, groups, words and buckets)."""
+    at, keys = merge_join(group, word, k, len(wids))
+    keys, no, n = np.unique(keys, return_inverse=True, return_counts=True)
+    g, w = (x[i] for x, i in zip((gids, wids), np.divmod(keys, max(1, len(wids))), strict=True))
+    mixed = (g.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (w.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return at, no, n, g, w, ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0x165667B19E3779F9) >> np.uint64(32)) % np.uint64(buckets)
+
+
+def extend(relation: DataFrame, k: int, buckets: int) -> DataFrame:
+    """(bucket, chunk, n, g, w): the distinct phrases of k + 1 words of each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk = batch.column(0)[row].as_py()
-                word, wids, group, gids = from_row(*(batch.column(c)[row] for c in range(1, 5)))
-                keys, n = np.unique(merge_join(group, word, k, len(wids))[1], return_counts=True)
-                for at in range(0, len(keys), 1 << 16):
-                    a, b = np.divmod(keys[at : at + (1 << 16)], len(wids))
-                    columns = {"chunk": np.full(len(a), chunk), "no": np.arange(at, at + len(a)), "g": gids[a], "w": wids[b], "n": n[at : at + len(a)]}
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
+                parts = from_row(*(batch.column(c)[row] for c in range(1, 5)))
+                _, _, n, g, w, bucket = local_groups(*parts, k, buckets)
+                yield packed(batch.column(0)[row].as_py(), bucket.astype(np.int64), buckets, n, {"g": pa.array(g), "w": pa.array(w)})
 
-    return relation.mapInArrow(run, "chunk long, no long, g long, w long, n long")
+    return relation.mapInArrow(run, "bucket int, chunk long, n array<int>, g array<long>, w array<long>")
 
 
-def renumber(numbers: np.ndarray, nos: np.ndarray) -> np.ndarray:
-    """Numbers as their places in ``nos``, those of groups that are not frequent as -1."""
-    table = np.full(max(numbers.max(initial=-1), nos.max(initial=-1)) + 2, -1, dtype=np.int32)
-    table[nos] = np.arange(len(nos))
-    return table[numbers]  # -1 reads the last entry, which is -1
+def renumber(numbers: np.ndarray, buckets: np.ndarray, most: int, own: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a chunk's groups (-1: none) as numbers of the frequent ones among them, and the
+    ids of these. ``buckets`` has each group's bucket, ``own`` the kept places by bucket."""
+    order, begins = dealt(buckets, most)
+    own = own.combine_chunks()
+    places = own.column("place").combine_chunks()
+    at = begins[np.repeat(own.column("bucket").to_numpy(), places.value_lengths().to_numpy())] + places.flatten().to_numpy()
+    table = np.full(len(buckets) + 1, -1, dtype=np.int32)
+    table[order[at]] = np.arange(len(at))
+    return table[numbers], own.column("gid").combine_chunks().flatten().to_numpy()  # -1 reads the last entry, which is -1
 
 
 def semi_join(relation: DataFrame, kept: DataFrame, run) -> DataFrame:
-    """The relation's chunks, each with the frequent groups (no, gid) it holds."""
-    own = kept.select(F.col("chunk").alias("chunk"), "no", "gid")
+    """The relation's chunks, each with the frequent groups that it holds."""
+    own = kept.filter(F.col("chunk").isNotNull()).select(F.col("chunk").alias("chunk"), "bucket", "place", "gid")
     return relation.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(run, RELATION)
 
 
-def first_relation(r1: DataFrame, kept: DataFrame) -> DataFrame:
+def first_relation(r1: DataFrame, kept: DataFrame, buckets: int) -> DataFrame:
     """R1 with the frequent words only."""
 
     def run(rows: pa.Table, own: pa.Table) -> pa.Table:
         ids = np.frombuffer(rows.column("ids")[0].as_buffer(), dtype=np.int32)
-        return as_rows(rows.column("chunk")[0].as_py(), renumber(ids, own.column("no").to_numpy()), own.column("gid").to_numpy())
+        places = word_buckets(rows.column("words")[0].values, rows.column("langs")[0].as_py(), rows.column("of")[0].values.to_numpy(), buckets)
+        return as_rows(rows.column("chunk")[0].as_py(), *renumber(ids, places, buckets, own))
 
-    return semi_join(r1.select("chunk", "ids"), kept, run)
+    return semi_join(r1.select("chunk", "langs", "of", "words", "ids"), kept, run)
 
 
-def next_relation(relation: DataFrame, kept: DataFrame, k: int) -> DataFrame:
+def next_relation(relation: DataFrame, kept: DataFrame, k: int, buckets: int) -> DataFrame:
     """R(k + 1) with the frequent phrases only."""
 
     def run(rows: pa.Table, own: pa.Table) -> pa.Table:
-        word, wids, group, _ = from_row(*(rows.column(c)[0] for c in ("word", "wids", "grp", "gids")))
-        at, keys = merge_join(group, word, k, len(wids))
+        word, wids, group, gids = from_row(*(rows.column(c)[0] for c in ("word", "wids", "grp", "gids")))
+        at, no, *_, places = local_groups(word, wids, group, gids, k, buckets)
         out = np.full(len(word), -1, dtype=np.int32)
-        out[at] = renumber(np.unique(keys, return_inverse=True)[1], own.column("no").to_numpy())
-        return as_rows(rows.column("chunk")[0].as_py(), word, wids, out, own.column("gid").to_numpy())
+        out[at], ids = renumber(no, places.astype(np.int64), buckets, own)
+        return as_rows(rows.column("chunk")[0].as_py(), word, wids, out, ids)
 
     return semi_join(relation, kept, run)
 
@@ -198,7 +276,7 @@ def exact_score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", whole, wide(left, 18) * wide(right, 18))
 
 
-def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, least: int = 10, covered: int = 50, top: int = 2000, chunk_words: int = 1 << 19) -> DataFrame:
+def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, least: int = 10, covered: int = 50, top: int = 2000, chunk_words: int = 1 << 21) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` collocations
     of 2 to ``max_words`` words, ties by a falling, then phrase rising in UTF-8 order.
 
@@ -210,20 +288,17 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
     counts the language's words. Counts must be below 10**15 a phrase. Repeated rows count each; other columns are left out; an
     empty table gives no rows."""
     r1 = written(occurrences(df, text, lang, chunk_words), "occurrences")
-    word_rows = r1.select("chunk", "langs", F.posexplode(F.arrays_zip("of", "words", "ns")))
-    word_rows = word_rows.select("chunk", F.col("pos").cast("long").alias("no"), F.element_at("langs", F.col("col.of") + 1).alias("lang"), F.col("col.words").alias("word"), F.col("col.ns").alias("n"))
-    sizes = written(word_rows.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
-    kept = written(count_groups(word_rows, ["lang", "word"], least).select("chunk", "no", "lang", "word", "row", "gid", "f"), "words")
-    word_groups = groups(kept, ["lang", "word"])
-    levels = [word_groups.select("gid", F.array("gid").alias("words"), "f")]
+    sizes = written(r1.select(F.explode(F.arrays_zip("langs", "totals")).alias("r")).groupBy(F.col("r.langs").alias("lang")).agg(F.sum("r.totals").alias("n")), "sizes")
+    buckets = 1 + (sizes.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS
+    kept = written(count_groups(word_groups(r1, buckets), least), "words")
+    names = groups(kept, "lang", "word")
+    levels = [names.select("gid", F.array("gid").alias("words"), "f")]
     relation = None
     for k in range(1, max_words):
-        relation = written(first_relation(r1, kept) if k == 1 else next_relation(relation, kept, k - 1), f"relation{k}")
-        kept = count_groups(extend(relation, k), ["g", "w"], least)
-        if k + 1 < max_words:
-            kept = written(kept.select("chunk", "no", "g", "w", "row", "gid", "f"), f"kept{k + 1}")
+        relation = written(first_relation(r1, kept, buckets) if k == 1 else next_relation(relation, kept, k - 1, buckets), f"relation{k}")
+        kept = written(count_groups(extend(relation, k, buckets), least), f"kept{k + 1}")
         shorter = levels[-1].select(F.col("gid").alias("g"), "words")
-        found = groups(kept, ["g", "w"]).join(shorter, "g").select("gid", F.concat("words", F.array("w")).alias("words"), "f")
+        found = groups(kept, "g", "w").join(shorter, "g").select("gid", F.concat("words", F.array("w")).alias("words"), "f")
         levels.append(written(found, f"phrases{k + 1}"))
     every, candidates = levels[0], levels[1] if max_words > 1 else levels[0].limit(0)
     for level in levels[1:]:
@@ -240,7 +315,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
     scored = cuts.select("words", "f", F.struct(exact_score(F.col("f"), F.col("l"), F.col("r")).alias("score"), "k", "l", "r").alias("cut"))
     scored = scored.groupBy("words", "f").agg(F.min("cut").alias("cut"))
     # the words' texts, which also tell the language; only what may be ranked is spelt out
-    names = word_groups.select(F.col("gid").alias("wid"), "lang", "word")
+    names = names.select(F.col("gid").alias("wid"), "lang", "word")
     best = scored.select(F.col("f").alias("a"), "cut", F.element_at("words", 1).alias("wid"), "words").join(names.select("wid", "lang"), "wid")
     # ties on (score, a) at the cut are settled by the phrase, so all of them stay until it is known
     w = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"))

@@ -44,8 +44,9 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("chunk_words,max_words,top", [(1 << 21, 3, 2000), (50, 3, 7), (300, 4, 40), (1, 2, 2000)])
-def test_against_brute_force(spark, chunk_words, max_words, top):
+@pytest.mark.parametrize("chunk_words,max_words,top,bucket_words", [(1 << 21, 3, 2000, 1 << 19), (50, 3, 7, 100), (300, 4, 40, 1000), (1, 2, 2000, 5000)])
+def test_against_brute_force(spark, monkeypatch, chunk_words, max_words, top, bucket_words):
+    monkeypatch.setattr(C, "BUCKET_WORDS", bucket_words)
     docs = spark.createDataFrame([(k, *r, "c", 1) for k, r in enumerate(rows())], "doc_id long, lang string, text string, phrase string, n int").repartition(3)
     got = C.collocations(docs, max_words=max_words, least=4, covered=50, top=top, chunk_words=chunk_words).collect()
     assert sorted(map(tuple, got)) == sorted(brute(rows(), max_words, 4, 50, top))
