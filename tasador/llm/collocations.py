@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 END = b"\xff"  # of a piece: no byte of UTF-8
@@ -276,7 +276,7 @@ def exact_score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", whole, wide(left, 18) * wide(right, 18))
 
 
-def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, least: int = 10, covered: int = 50, top: int = 2000, chunk_words: int = 1 << 21) -> DataFrame:
+def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, least: int = 10, covered: int = 50, top: int = 2000, chunk_words: int = 1 << 20) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` collocations
     of 2 to ``max_words`` words, ties by a falling, then phrase rising in UTF-8 order.
 
@@ -295,7 +295,13 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
     levels = [names.select("gid", F.array("gid").alias("words"), "f")]
     relation = None
     for k in range(1, max_words):
-        relation = written(first_relation(r1, kept, buckets) if k == 1 else next_relation(relation, kept, k - 1, buckets), f"relation{k}")
+        if k == 1:
+            relation = written(first_relation(r1, kept, buckets), "relation1")
+            discard(r1)
+        else:
+            shorter, relation = relation, written(next_relation(relation, kept, k - 1, buckets), f"relation{k}")
+            discard(shorter)
+            discard(kept)
         kept = written(count_groups(extend(relation, k, buckets), least), f"kept{k + 1}")
         shorter = levels[-1].select(F.col("gid").alias("g"), "words")
         found = groups(kept, "g", "w").join(shorter, "g").select("gid", F.concat("words", F.array("w")).alias("words"), "f")

@@ -45,7 +45,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     stages neither recompute it nor lose it with an executor."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a ``written`` table that nothing reads any more: all that came of it is written too."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def utf8(text: str = "text") -> Column:
