@@ -239,13 +239,14 @@ def renumber(numbers: np.ndarray, buckets: np.ndarray, most: int, own: pa.Table)
     return table[numbers], own.column("gid").combine_chunks().flatten().to_numpy()  # -1 reads the last entry, which is -1
 
 
-def semi_join(relation: DataFrame, kept: DataFrame, run) -> DataFrame:
-    """The relation's chunks, each with the frequent groups that it holds."""
+def semi_join(relation: DataFrame, kept: DataFrame, parts: int, run) -> DataFrame:
+    """The relation's chunks, each with the frequent groups that it holds. Dealt to
+    a given number of partitions, which Spark leaves as they are: a chunk is large for a row."""
     own = kept.filter(F.col("chunk").isNotNull()).select(F.col("chunk").alias("chunk"), "bucket", "place", "gid")
-    return relation.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(run, RELATION)
+    return relation.repartition(parts, "chunk").groupBy("chunk").cogroup(own.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(run, RELATION)
 
 
-def first_relation(r1: DataFrame, kept: DataFrame, buckets: int) -> DataFrame:
+def first_relation(r1: DataFrame, kept: DataFrame, buckets: int, parts: int) -> DataFrame:
     """R1 with the frequent words only."""
 
     def run(rows: pa.Table, own: pa.Table) -> pa.Table:
@@ -253,10 +254,10 @@ def first_relation(r1: DataFrame, kept: DataFrame, buckets: int) -> DataFrame:
         places = word_buckets(rows.column("words")[0].values, rows.column("langs")[0].as_py(), rows.column("of")[0].values.to_numpy(), buckets)
         return as_rows(rows.column("chunk")[0].as_py(), *renumber(ids, places, buckets, own))
 
-    return semi_join(r1.select("chunk", "langs", "of", "words", "ids"), kept, run)
+    return semi_join(r1.select("chunk", "langs", "of", "words", "ids"), kept, parts, run)
 
 
-def next_relation(relation: DataFrame, kept: DataFrame, k: int, buckets: int) -> DataFrame:
+def next_relation(relation: DataFrame, kept: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
     """R(k + 1) with the frequent phrases only."""
 
     def run(rows: pa.Table, own: pa.Table) -> pa.Table:
@@ -266,7 +267,7 @@ def next_relation(relation: DataFrame, kept: DataFrame, k: int, buckets: int) ->
         out[at], ids = renumber(no, places.astype(np.int64), buckets, own)
         return as_rows(rows.column("chunk")[0].as_py(), word, wids, out, ids)
 
-    return semi_join(relation, kept, run)
+    return semi_join(relation, kept, parts, run)
 
 
 def exact_score(a: Column, left: Column, right: Column) -> Column:
@@ -289,17 +290,18 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
     empty table gives no rows."""
     r1 = written(occurrences(df, text, lang, chunk_words), "occurrences")
     sizes = written(r1.select(F.explode(F.arrays_zip("langs", "totals")).alias("r")).groupBy(F.col("r.langs").alias("lang")).agg(F.sum("r.totals").alias("n")), "sizes")
-    buckets = 1 + (sizes.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    buckets, parts = 1 + total // BUCKET_WORDS, 1 + total // chunk_words
     kept = written(count_groups(word_groups(r1, buckets), least), "words")
     names = groups(kept, "lang", "word")
     levels = [names.select("gid", F.array("gid").alias("words"), "f")]
     relation = None
     for k in range(1, max_words):
         if k == 1:
-            relation = written(first_relation(r1, kept, buckets), "relation1")
+            relation = written(first_relation(r1, kept, buckets, parts), "relation1")
             discard(r1)
         else:
-            shorter, relation = relation, written(next_relation(relation, kept, k - 1, buckets), f"relation{k}")
+            shorter, relation = relation, written(next_relation(relation, kept, k - 1, buckets, parts), f"relation{k}")
             discard(shorter)
             discard(kept)
         kept = written(count_groups(extend(relation, k, buckets), least), f"kept{k + 1}")

@@ -44,7 +44,7 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("chunk_words,max_words,top,bucket_words", [(1 << 21, 3, 2000, 1 << 19), (50, 3, 7, 100), (300, 4, 40, 1000), (1, 2, 2000, 5000)])
+@pytest.mark.parametrize("chunk_words,max_words,top,bucket_words", [(1 << 21, 3, 2000, 1 << 19), (200, 3, 7, 500), (600, 4, 40, 2000), (400, 2, 2000, 5000)])
 def test_against_brute_force(spark, monkeypatch, chunk_words, max_words, top, bucket_words):
     monkeypatch.setattr(C, "BUCKET_WORDS", bucket_words)
     docs = spark.createDataFrame([(k, *r, "c", 1) for k, r in enumerate(rows())], "doc_id long, lang string, text string, phrase string, n int").repartition(3)
