@@ -3,21 +3,22 @@
 ``training_frame`` builds the 40 or 45 features of the cleaned listings (one radius
 join; the five further ones are location means), imputes global medians (exact, distributed), adds the log target,
 the segment and the exact per-segment split, and is persisted once for all
-fits. ``score_requests`` routes each valid request to its segment's bundle
-(a filter per segment, a transform, a union) -- models travel to the
-executors with the tasks; requests are never collected.
+fits. ``predict`` reads its rows once: all bundles travel in one broadcast (their size is
+bounded by segments x rounds x leaves), and each row is scored by the trees of its segment.
 """
 
 from __future__ import annotations
 
 import os
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.segments import DEFAULT_SEGMENTS, price_range_api, segment_expr, segments_df
-from .ensemble import REFERENCE, Bundle, fit_ensemble
+from .ensemble import REFERENCE, Bundle, blended, fit_ensembles, with_arrow
 from .features import FEATURES_40, GROUP_MEANS, build_features
 from .neighborhood import loo_means
 from .prep import impute_median, median_values, train_test_split
@@ -45,32 +46,37 @@ def training_frame(clean: DataFrame, reference: DataFrame, group_by_segment: boo
     return f, {c: med[c] for c in usable}
 
 
-def train_models(frame: DataFrame, features: list[str], params: dict = REFERENCE) -> dict[str, Bundle]:
-    """M7/M8: one ensemble per segment value present in the frame. The
-    segment list is a handful of names; each fit is a set of distributed
-    Spark ML jobs over that segment's rows."""
-    names = [r["segment"] for r in frame.select("segment").distinct().collect() if r["segment"] is not None]
-    out = {}
-    for name in sorted(names):
-        part = frame.filter(F.col("segment") == name)
-        out[name] = fit_ensemble(part.filter(~F.col("is_test")), part.filter(F.col("is_test")), features, params)
-    return out
+def train_models(frame: DataFrame, features: list[str], params: dict = REFERENCE, members=("a", "b")) -> dict[str, Bundle]:
+    """M7/M8: one ensemble per segment value present in the frame, all of them
+    and both members fitted together; then their blend weights."""
+    bundles = fit_ensembles(frame, features, params, members)
+    if len(members) == 2:
+        blended(bundles, predict(frame.filter("is_test"), bundles))
+    return bundles
 
 
 def predict(frame: DataFrame, bundles: dict[str, Bundle]) -> DataFrame:
-    """Per-segment transform and ``unionByName``; adds ``pred_a,
-    pred_b, pred_log, prediction`` (price space, no clamping). Rows of a segment
+    """Adds ``pred_a, pred_b, pred_log, prediction`` (price space, no clamping) in one
+    pass, each row by its segment's bundle. Rows of a segment
     without a bundle, or without one at all, stay with NULL predictions."""
-    parts = []
-    for name, b in bundles.items():
-        p = b.predict_log(frame.filter(F.col("segment") == name))
-        parts.append(p.withColumn("prediction", F.expm1("pred_log")))
-    none = frame.filter(F.col("segment").isNull() | ~F.col("segment").isin(*bundles))
-    parts.append(none.withColumns({c: F.lit(None).cast("double") for c in ("pred_a", "pred_b", "pred_log", "prediction")}))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    features = next((b.features for b in bundles.values()), [])
+    shared = frame.sparkSession.sparkContext.broadcast(bundles)
+    at = frame.columns.index("segment")
+
+    def run(batch: pa.RecordBatch, columns: list[np.ndarray]) -> list[pa.Array]:
+        segment = np.array(batch.column(at).to_pylist(), dtype=object)
+        out = np.full((3, len(segment)), np.nan)
+        known = np.zeros(len(segment), dtype=bool)
+        for name, b in shared.value.items():
+            rows = np.flatnonzero(segment == name)
+            if len(rows):
+                a, b_ = b.predict_log([x[rows] for x in columns])
+                w = b.weight_a
+                out[:, rows] = a, b_, b_ if w == 0 else a if w == 1 else w * a + (1 - w) * b_
+                known[rows] = True
+        return [pa.array(np.where(np.isnan(x), 0.0, x), pa.float64(), mask=~known | np.isnan(x)) for x in (*out, np.expm1(out[2]))]
+
+    return with_arrow(frame, features, "pred_a double, pred_b double, pred_log double, prediction double", run)
 
 
 def model_results(pred: DataFrame, bundles: dict[str, Bundle]) -> DataFrame:
@@ -93,7 +99,7 @@ def model_results(pred: DataFrame, bundles: dict[str, Bundle]) -> DataFrame:
 
 
 def save_bundles(bundles: dict[str, Bundle], path: str) -> None:
-    """One directory per segment (Spark ML writers + manifest)."""
+    """One directory per segment (a table of trees, a manifest)."""
     for name, b in bundles.items():
         b.save(os.path.join(path, f"segment={name}"))
 
@@ -117,7 +123,7 @@ def responses(scored: DataFrame, segments=DEFAULT_SEGMENTS) -> DataFrame:
     """``prediction, segment, segment_description, price_range`` plus
     the JSON body. The segment table is bounded by configuration."""
     s = segments_df(scored.sparkSession, segments)
-    j = scored.join(F.broadcast(s), scored.segment == s.name)
+    j = scored.join(F.broadcast(s), scored.segment == s.name, "left")  # a segment that is not configured keeps its row
     body = F.to_json(F.struct(F.col("prediction"), F.col("segment"),
                               F.col("description").alias("segment_description"),
                               price_range_api(F.col("price_min"), F.col("price_max")).alias("price_range")))

@@ -21,24 +21,25 @@ from .q_requests import requests_sql
 POI_FIELDS = 4
 
 
-# The downloaded files, one a page: the page itself, a sound table made of the
+# The downloaded files: every page itself, and beside three in four of them a sound table made of the
 # page's id and length, or such a table that breaks off in the page or in a short line.
 DOWNLOADS = """
-SELECT page_id, CASE page_id % 4
-    WHEN 0 THEN html
+SELECT page_id, 'page' AS file, coalesce(html, '') AS body FROM pages
+UNION ALL
+SELECT page_id, 'made' AS file, CASE page_id % 4
     WHEN 1 THEN concat('  ', page_id, ',stop,', length(html), ',1', {nl}, page_id, ',stop,2,3')
     WHEN 2 THEN concat(page_id, ',stop,1,2', {nl}, ' ', html)
     ELSE concat(page_id, ',stop,1,2', {nl}, {nl}, page_id, ',stop') END AS body
-FROM pages"""
+FROM pages WHERE page_id % 4 <> 0"""
 
 
 @register("quarantine_source", f"""
 WITH downloads AS ({DOWNLOADS.format(nl="chr(10)")}),
-lines AS (SELECT page_id, trim(unnest(string_split(replace(replace(body, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))),
+lines AS (SELECT page_id, file, trim(unnest(string_split(replace(replace(body, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))),
   ' ' || chr(9) || chr(11) || chr(12) || chr(65279)) AS line FROM downloads),
-facts AS (SELECT page_id, count(*) FILTER (line <> '') AS n, count(*) FILTER (line LIKE '<%') AS marked,
-  count(*) FILTER (line <> '' AND length(line) - length(replace(line, ',', '')) <> 3) AS odd FROM lines GROUP BY page_id)
-SELECT page_id, n > 0 AND marked = 0 AND odd = 0 AS is_valid,
+facts AS (SELECT page_id, file, count(*) FILTER (line <> '') AS n, count(*) FILTER (line LIKE '<%') AS marked,
+  count(*) FILTER (line <> '' AND length(line) - length(replace(line, ',', '')) <> 3) AS odd FROM lines GROUP BY page_id, file)
+SELECT page_id, file, n > 0 AND marked = 0 AND odd = 0 AS is_valid,
   CASE WHEN n = 0 THEN 'empty' WHEN marked > 0 THEN 'markup, not delimited text'
        WHEN odd > 0 THEN 'unexpected field count' END AS quarantine_reason
 FROM facts""")
@@ -47,7 +48,7 @@ def quarantine_source(spark, sf):
     4-field CSV, or break off in something else, are routed to quarantine with a reason."""
     table(spark, sf, "pages").createOrReplaceTempView("_quarantine_pages")
     files = spark.sql(DOWNLOADS.format(nl="char(10)").replace("FROM pages", "FROM _quarantine_pages"))
-    return quarantine(files, "body", POI_FIELDS).select("page_id", "is_valid", "quarantine_reason")
+    return quarantine(files, "body", POI_FIELDS).select("page_id", "file", "is_valid", "quarantine_reason")
 
 
 @register("stream_validate_requests", requests_sql(

@@ -8,7 +8,9 @@ benchmark and command-line use.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +39,15 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
     return spark
 
 
+@lru_cache(maxsize=None)
+def ship_package(application_id: str) -> None:
+    """Send this package to the executors, whose Python need not have it installed:
+    the operators that work in Arrow batches name its functions."""
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "tasador_operators"), "zip", top, "tasador")
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     d = spark.conf.get("spark.checkpoint.dir", None)

@@ -1,11 +1,10 @@
-"""The registered model queries: full schedule, 45 features, shared trainings."""
+"""The registered model queries: full schedule, 45 features, shared trainings, only the members asked for."""
 import inspect
 
-import pytest
 from pyspark.sql import functions as F
 
 from tasador.operators import score
-from tasador.operators.ensemble import FAST, REFERENCE, _gbt, assemble, first_rounds
+from tasador.operators.ensemble import FAST, REFERENCE
 from tasador.operators.features import FEATURES_40, FEATURES_45
 from tasador.plans import catalog, q_ml
 from conftest import SF_SMALL
@@ -23,19 +22,19 @@ def test_registered_queries_run_the_full_schedule():
     assert "FAST" not in vars(q_ml)
 
 
-def test_one_training_for_the_global_queries(spark, monkeypatch):
+def test_a_query_fits_what_it_reports(spark, monkeypatch):
     fits = []
-    fit = score.fit_ensemble
-    monkeypatch.setattr(score, "fit_ensemble", lambda *a: fits.append(a[2]) or fit(*a))
+    fit = score.fit_ensembles
+    monkeypatch.setattr(score, "fit_ensembles", lambda *a: fits.append((a[1], a[3])) or fit(*a))
     q_ml._KEPT.clear()
-    simple, a, b, curve, imp = (getattr(q_ml, n)(spark, SF_SMALL, SMALL).collect() for n in
-                                ("train_simple", "train_member_a", "train_member_b", "early_stopping", "feature_importance"))
-    assert fits == [FEATURES_45]
+    a, imp = (getattr(q_ml, n)(spark, SF_SMALL, SMALL).collect() for n in ("train_member_a", "feature_importance"))
+    assert fits == [(FEATURES_45, ("a",))] and a[0].n_trees == 3 and {r.feature for r in imp} <= set(FEATURES_45)
+    simple, b, curve = (getattr(q_ml, n)(spark, SF_SMALL, SMALL).collect() for n in ("train_simple", "train_member_b", "early_stopping"))
+    assert fits[1:] == [(FEATURES_45, ("a", "b"))]
     assert [r["round"] for r in curve] == [1, 2, 3]
     best = next(r["round"] for r in curve if r.is_best)
-    assert simple[0].best_iter_b == best == b[0].n_trees and a[0].n_trees == 3
-    assert {r.feature for r in imp} <= set(FEATURES_45)
-    assert q_ml.train_simple(spark, SF_SMALL, dict(SMALL, max_iter=2)).first() and len(fits) == 2  # another schedule, another training
+    assert simple[0].best_iter_b == best == b[0].n_trees
+    assert min(curve, key=lambda r: r.valid_loss)["round"] == best
 
 
 def test_classifier_sees_45_features(spark, monkeypatch):
@@ -45,13 +44,3 @@ def test_classifier_sees_45_features(spark, monkeypatch):
     rows = q_ml.train_segment_classifier(spark, SF_SMALL, SMALL).collect()
     assert seen == [FEATURES_45] and len(set(FEATURES_45) - set(FEATURES_40)) == 5
     assert {r.label for r in rows} >= set(q_ml.LABELS)
-
-
-def test_first_rounds_equal_a_shorter_fit(spark):
-    df = spark.range(400).select(F.rand(1).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("c"), F.rand(4).alias("d"))
-    df = assemble(df.withColumn("y", F.sin(F.col("a") * 7) + F.col("b") * F.col("c")), ["a", "b", "c", "d"]).coalesce(2).cache()
-    params = dict(REFERENCE, max_iter=8)
-    cut, short = first_rounds(_gbt(params, "b").fit(df), 5), _gbt(params, "b", max_iter=5).fit(df)
-    assert cut.getNumTrees == 5
-    got, want = ([r.prediction for r in m.transform(df).collect()] for m in (cut, short))
-    assert got == pytest.approx(want)

@@ -6,6 +6,8 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from tasador.operators.boosting import Forest, Tree
+from tasador.operators.ensemble import Bundle
 from tasador.operators.prep import train_test_split
 from tasador.operators.quantiles import exact_medians
 from tasador.operators.score import predict
@@ -65,10 +67,7 @@ def test_quarantine_reads_the_whole_text(spark):
 
 
 def test_rows_without_a_bundle_stay(spark):
-    class Fixed:
-        def predict_log(self, df):
-            return df.withColumn("pred_log", F.lit(1.0))
-
+    bundle = Bundle(["request_id"], {}, {}, 0.5, [[2.0]], 0.5, Forest([], []), Forest([[Tree(value=[1.0])]], []))
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "request_id long, segment string")
-    got = {r.request_id: r.prediction for r in predict(df, {"a": Fixed()}).collect()}
+    got = {r.request_id: r.prediction for r in predict(df, {"a": bundle}).collect()}
     assert got[1] == pytest.approx(math.e - 1) and got[2] is None and got[3] is None
