@@ -34,15 +34,16 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the least id stays, as one row (the
-    smallest, if the id is repeated). Rows without an id stay."""
-    groups = simhash.near_duplicates(docs, shingle=3, threshold=2)
-    first = written(groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "first")
-    kept = docs.join(first.hint("merge"), F.col("doc_id") == F.col("__id"), "left_semi")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    kept = kept.groupBy("doc_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("r"))
-    kept = kept.select(*["doc_id" if c == "doc_id" else F.col("r").getField(c).alias(c) for c in docs.columns])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    """Of each group one row stays, that of its least id; of rows that share an id, texts of
+    different groups are each judged by their own. Of equal ids and texts one row stays. Rows without
+    an id stay."""
+    digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    keyed = docs.filter("doc_id is not null").select(F.struct(F.col("doc_id").alias("id"), digest.alias("digest")).alias("key"), "text")
+    groups = simhash.near_duplicates(keyed, key="key", shingle=3, threshold=2)
+    first = written(groups.filter("key = component_id").select(F.col("key.id").alias("__id"), F.col("key.digest").alias("__of")).distinct(), "first")
+    named = docs.withColumn("__digest", digest)
+    kept = named.join(first.hint("merge"), (F.col("doc_id") == F.col("__id")) & (F.col("__digest") == F.col("__of")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__digest"]).drop("__digest").unionByName(docs.filter("doc_id is null"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
