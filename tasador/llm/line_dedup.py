@@ -132,7 +132,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_char
     joined = df.drop(*drop).join(lost, F.col(key) == F.col("__doc"), "left")
     kept = F.when(F.col("__drop").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(F.filter(lines, lambda line, pos: ~F.array_contains("__drop", pos)), "\n"))
     return joined.select(
-        *[F.col(c) for c in df.columns if c not in drop],
+        *[F.col(f"`{c}`") for c in df.columns if c not in drop],
         kept.alias("kept_text"),
         (F.length(F.coalesce(F.col(text), F.lit(""))) - F.length(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"),

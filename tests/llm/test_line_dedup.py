@@ -35,9 +35,9 @@ def rows():
 
 @pytest.mark.parametrize("batches,fanout", [(4, 2), (1, 2), (7, 3)])
 def test_against_brute_force(spark, batches, fanout):
-    docs = spark.createDataFrame([(*r, "x", 9, "y") for r in rows()], "doc_id long, text string, n_lines string, n_dropped int, other string").repartition(5)
+    docs = spark.createDataFrame([(*r, "x", 9, "y") for r in rows()], "doc_id long, text string, n_lines string, n_dropped int, `other.name` string").repartition(5)
     got = D.dedup_lines(docs, batches=batches, fanout=fanout)
-    assert set(got.columns) == {"doc_id", "text", "other", "kept_text", "n_lines", "n_dropped"}
+    assert set(got.columns) == {"doc_id", "text", "other.name", "kept_text", "n_lines", "n_dropped"}
     assert sorted(map(tuple, got.select("doc_id", "kept_text", "n_lines", "n_dropped").collect()), key=str) == brute(rows())
 
 
