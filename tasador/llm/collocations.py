@@ -293,7 +293,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
     total = sizes.agg(F.sum("n")).first()[0] or 0
     buckets, parts = 1 + total // BUCKET_WORDS, 1 + total // chunk_words
     kept = written(count_groups(word_groups(r1, buckets), least), "words")
-    names = groups(kept, "lang", "word")
+    names = written(groups(kept, "lang", "word"), "names")
     levels = [names.select("gid", F.array("gid").alias("words"), "f")]
     relation = None
     for k in range(1, max_words):
@@ -303,7 +303,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
         else:
             shorter, relation = relation, written(next_relation(relation, kept, k - 1, buckets, parts), f"relation{k}")
             discard(shorter)
-            discard(kept)
+        discard(kept)  # its groups are in ``names`` or ``levels``, its marks in the relation
         kept = written(count_groups(extend(relation, k, buckets), least), f"kept{k + 1}")
         shorter = levels[-1].select(F.col("gid").alias("g"), "words")
         found = groups(kept, "g", "w").join(shorter, "g").select("gid", F.concat("words", F.array("w")).alias("words"), "f")
