@@ -9,6 +9,11 @@ first time are scored in full; the last values met, weighed by the query, bound
 every row not yet met, and the query stops when the bound is below its kth score. (At
 equality it goes on: a row with the same score and a smaller id may follow.)
 
+Queries of a tile go down the lists together, so that the rows met are scored by one
+product of matrices; a row met by one query is scored for all that have not stopped,
+which only makes their bounds safer. Where the vectors have no direction that stands
+out, the lists' bound stays above any real product and a tile is scored in full.
+
 Every query first meets one block, its home, and takes the kth score found there as
 its floor in all other tiles, so a tile that cannot reach it stops at once. The
 tiles' best are merged by a ranked window, which Spark cuts to k rows a query before
@@ -17,8 +22,6 @@ its shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -39,14 +42,18 @@ def integer_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     return rows.select("id", F.transform(x, lambda c: F.floor(c * scale)).alias("v")).groupBy("id").agg(F.min("v").alias("v"))
 
 
-def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products; those beyond a long are moved to its ends."""
+def products(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Exact inner products, a row for each query; those beyond a long are moved to its ends."""
     if not vectors.size:
-        return np.zeros(len(vectors), dtype=np.int64)
-    if float(np.abs(vectors).max()) * float(np.abs(query).max()) * vectors.shape[1] < BOUND:
-        return vectors @ query
+        return np.zeros((len(queries), len(vectors)), dtype=np.int64)
+    most = float(np.abs(vectors).max()) * float(np.abs(queries).max()) * vectors.shape[1]
+    if most < 2**53:  # every partial sum is a whole number that a double holds
+        return (queries.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
+    if most < BOUND:
+        return queries @ vectors.T
     limits = np.iinfo(np.int64)
-    return np.array([min(max(s, limits.min), limits.max) for s in (vectors.astype(object) @ query.astype(object)).tolist()], dtype=np.int64)
+    exact = queries.astype(object) @ vectors.astype(object).T
+    return np.array([[min(max(s, limits.min), limits.max) for s in row] for row in exact.tolist()], dtype=np.int64)
 
 
 class Block:
@@ -59,32 +66,44 @@ class Block:
         self.values = np.take_along_axis(self.vectors, self.order.T, axis=0).T.copy()
 
     def search(self, own: int, query: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the best k rows other than ``own``, best first; rows
-        scoring below ``floor`` may be missing."""
+        """``search_many`` for one query."""
+        return self.search_many(np.array([own]), query[None], k, np.array([floor]))[0]
+
+    def search_many(self, own: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (ids, scores) of the best k rows other than ``own``, best
+        first; rows scoring below its floor may be missing. The queries go down the lists
+        together: rows that one of them meets are scored for all that have not stopped."""
         n = len(self.ids)
-        used = np.flatnonzero(query)
-        down = query[used] > 0
-        met = np.zeros(n, dtype=bool)
-        met[self.ids == own] = True
-        found, scores, depth, step = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), 0, max(8, 4 * k)
-        weights = query[used].astype(np.float64)
+        at = np.minimum(np.searchsorted(self.ids, own), n - 1)
+        own = np.where(self.ids[at] == own, at, -1)
+        above, below = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
+        found = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))] * len(queries)
+        kth, going = floors.astype(np.float64), np.arange(len(queries))
+        met, depth, step = np.zeros(n, dtype=bool), 0, max(8, 4 * k)
         while depth < n:
             # the bound for rows not yet met: the list entries at this depth
-            ends = np.where(down, self.values[used, n - 1 - depth], self.values[used, depth]).astype(np.float64)
-            bound = float(ends @ weights)
-            slack = 1e-9 * float(np.abs(ends) @ np.abs(weights)) if abs(bound) >= 2**52 else 0.0
-            kth = max(floor, float(scores[k - 1]) if len(scores) >= k else -np.inf)
-            if bound + slack < kth:
+            high, low = self.values[:, n - 1 - depth].astype(np.float64), self.values[:, depth].astype(np.float64)
+            bound, size = above[going] @ high + below[going] @ low, above[going] @ np.abs(high) - below[going] @ np.abs(low)
+            going = going[bound + np.where(size >= 2**52, 1e-9 * size, 0.0) >= kth[going]]
+            if not len(going):
                 break
-            end = min(n, depth + step)
-            rows = np.where(down[:, None], self.order[used, n - end : n - depth], self.order[used, depth:end]) if len(used) else np.arange(n)
+            down, up = (above[going] > 0).any(0), (below[going] < 0).any(0)
+            end = min(n, depth + step) if down.any() or up.any() else n
             here = np.zeros(n, dtype=bool)
-            here[rows] = True
+            if down.any() or up.any():
+                here[self.order[down, n - end : n - depth]] = True
+                here[self.order[up, depth:end]] = True
+            else:  # queries of zeros only have no list to go down
+                here[:] = True
             new = np.flatnonzero(here & ~met)
             met |= here
-            found, scores = best(np.concatenate([found, self.ids[new]]), np.concatenate([scores, products(self.vectors[new], query)]), k)
-            depth, step = (end, step * 2) if len(used) else (n, step)
-        return found, scores
+            for q, scores in zip(going, products(self.vectors[new], queries[going]), strict=True):
+                worth = (scores >= kth[q]) & (new != own[q])
+                found[q] = best(np.concatenate([found[q][0], self.ids[new[worth]]]), np.concatenate([found[q][1], scores[worth]]), k)
+                if len(found[q][0]) >= k:
+                    kth[q] = max(kth[q], float(found[q][1][-1]))
+            depth, step = end, step * 2
+        return found
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,16 +118,24 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 RESULT = "query_id long, vec_id long, score long"
 
 
+BATCH = 128  # queries that go down a block's lists together
+
+
 def search_tile(queries: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
     """The best k rows of the block for each query (id, v, floor)."""
     out = []
-    lengths = block["v"].map(len)
-    for length, rows in block.groupby(lengths):
-        index = Block(rows["id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.int64).reshape(len(rows), int(length)))
-        for q, v, floor in zip(queries["id"], queries["v"], queries["floor"], strict=True):
-            if len(v) == length:
-                ids, scores = index.search(int(q), np.asarray(v, dtype=np.int64), k, -np.inf if pd.isna(floor) else float(floor))
-                out.append(pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores}))
+    asked = queries["v"].map(len)
+    for length, rows in block.groupby(block["v"].map(len)):
+        some = queries[asked == length]
+        if some.empty:
+            continue
+        stacked = lambda v: np.stack(v.to_numpy()).astype(np.int64).reshape(len(v), int(length))
+        index = Block(rows["id"].to_numpy(), stacked(rows["v"]))
+        for start in range(0, len(some), BATCH):
+            part = some.iloc[start : start + BATCH]
+            floors = part["floor"].astype("float64").fillna(-np.inf).to_numpy()
+            found = index.search_many(part["id"].to_numpy(), stacked(part["v"]), k, floors)
+            out += [pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores}) for q, (ids, scores) in zip(part["id"], found, strict=True)]
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
 
 
@@ -120,7 +147,7 @@ def tiles(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     return queries.groupBy("group", "block").cogroup(vectors.groupBy("group", "block")).applyInPandas(run, RESULT)
 
 
-def top_k(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", scale: float = 256.0, block_rows: int = 2048, group_rows: int = 512) -> DataFrame:
+def top_k(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", scale: float = 256.0, block_rows: int = 8192, group_rows: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vector for whose id ``is_query``
     (over column ``id``) holds, its k best others by inner product of the
     integer vectors, ties to the smaller id; all of them if there are fewer.
