@@ -7,10 +7,12 @@ of a text's words that stand in content lines decides whether the document stays
 
 The field is fitted, by gradient ascent on the conditional likelihood with
 forward-backward sums, in one task on a bounded sample of labelled documents
-(``sample`` a class), every line taking its document's label. That label is
+(``sample`` a class), every line taking its document's label. Half of the training
+sequences are whole documents, the others join short stretches of good and bad
+documents, so that the field sees labels change within a text. The label is
 noisy for a line of its own; lines of plain form are mostly seen in good
-documents, so the field calls them content wherever they stand. Documents are
-scored where they are read; nothing is shuffled.
+documents, so the field calls them content where their neighbours leave it open.
+Documents are scored where they are read; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -114,26 +116,47 @@ def logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def mixed(seqs: list[tuple[np.ndarray, np.ndarray]], seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The lines of ``seqs`` (features, labels) once more, cut into stretches of 1 to 12 lines that are
+    shuffled and joined to sequences of at most SEQUENCE lines."""
+    rng = np.random.default_rng(seed)
+    stretches = []
+    for x, y in seqs:
+        at = 0
+        while at < len(x):
+            end = at + int(rng.integers(1, 13))
+            stretches.append((x[at:end], y[at:end]))
+            at = end
+    out, held = [], []
+    for k in rng.permutation(len(stretches)):
+        if sum(len(y) for _, y in held) + len(stretches[k][1]) > SEQUENCE:
+            out.append(held)
+            held = []
+        held.append(stretches[k])
+    return [(np.concatenate([x for x, _ in h]), np.concatenate([y for _, y in h])) for h in [*out, held] if h]
+
+
 def fit(texts: list[bytes], good: list[int], rounds: int = 120, rate: float = 0.1, decay: float = 1e-3) -> dict:
     """Weights of the field: emission of either label, transitions, start; and
     the features' means and scales."""
     seqs = []
     for text, label in zip(texts, good, strict=True):
         x, _ = line_features(text.split(b"\n"))
-        seqs += [(x[k : k + SEQUENCE], label) for k in range(0, len(x), SEQUENCE)]
+        seqs += [(x[k : k + SEQUENCE], np.full(len(x[k : k + SEQUENCE]), label)) for k in range(0, len(x), SEQUENCE)]
     everything = np.concatenate([x for x, _ in seqs])
     mean, scale = everything.mean(0), everything.std(0) + 1e-6
+    seqs += mixed(seqs)
     size, length = len(seqs), max(len(x) for x, _ in seqs)
-    x, there = np.zeros((size, length, FEATURES + 1)), np.zeros((size, length), dtype=bool)
-    label = np.array([g for _, g in seqs])
-    for k, (s, _) in enumerate(seqs):
-        x[k, : len(s), :-1], x[k, : len(s), -1], there[k, : len(s)] = (s - mean) / scale, 1, True
-    # a class counts as much as the other, whatever their shares of the sample
-    weight = np.where(label == 1, 0.5 / max(1, (there[label == 1]).sum()), 0.5 / max(1, (there[label == 0]).sum()))
+    x, there, label = np.zeros((size, length, FEATURES + 1)), np.zeros((size, length), dtype=bool), np.zeros((size, length), dtype=np.int64)
+    for k, (s, y) in enumerate(seqs):
+        x[k, : len(s), :-1], x[k, : len(s), -1], there[k, : len(s)], label[k, : len(s)] = (s - mean) / scale, 1, True, y
+    # a class counts as much as the other, whatever their shares of the sample; a sequence counts by its lines' mean
+    share = [0.5 / max(1, (there & (label == c)).sum()) for c in (0, 1)]
+    weight = np.where(label == 1, share[1], share[0])
+    weight = (weight * there).sum(1) / np.maximum(1, there.sum(1))
+    truth = np.eye(2)[label] * there[..., None]
     params = [np.zeros((FEATURES + 1, 2)), np.zeros((2, 2)), np.zeros(2)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    truth = np.zeros((size, 2))
-    truth[np.arange(size), label] = 1
     for step in range(1, rounds + 1):
         w, t, s = params
         e = x @ w
@@ -149,10 +172,10 @@ def fit(texts: list[bytes], good: list[int], rounds: int = 120, rate: float = 0.
         node = np.exp(alpha + beta - z[:, None, None]) * there[..., None]
         both = there[:, 1:] & there[:, :-1]
         edge = np.exp(alpha[:, :-1, :, None] + t + (e[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]) * both[..., None, None]
-        gap = (truth[:, None, :] * there[..., None] - node) * weight[:, None, None]
+        gap = (truth - node) * weight[:, None, None]
         grads = [
             np.einsum("skf,skl->fl", x, gap),
-            np.einsum("s,sab->ab", weight * both.sum(1), truth[:, :, None] * truth[:, None, :]) - np.einsum("s,skab->ab", weight, edge),
+            np.einsum("s,ska,skb->ab", weight, truth[:, :-1], truth[:, 1:]) - np.einsum("s,skab->ab", weight, edge),
             gap[:, 0].sum(0),
         ]
         for k, grad in enumerate(grads):
@@ -185,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             m = fit([t for *_, t in seen], [g for _, g, _ in seen])
             yield pa.RecordBatch.from_arrays([pa.array(list(m)), pa.array([v.ravel().tolist() for v in m.values()])], names=["name", "value"])
 
-    fitted = {r.name: np.array(r.value) for r in rows.coalesce(1).mapInArrow(run, "name string, value array<double>").collect()}
+    fitted = {r.name: np.array(r.value) for r in rows.repartition(1).mapInArrow(run, "name string, value array<double>").collect()}
     if not fitted:
         return None
     return fitted | {"emission": fitted["emission"].reshape(-1, 2), "transition": fitted["transition"].reshape(2, 2)}

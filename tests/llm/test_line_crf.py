@@ -53,6 +53,29 @@ def test_held_out_accuracy(spark):
     assert sum(r.kept for r in good) >= 0.99 * len(good)
 
 
+def test_boilerplate_within_good_documents(spark):
+    """Lines of a bad document put inside a good one are found there, and the good lines stay."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = L.train(docs, labels.filter("doc_id % 2 = 0"))
+    rows = docs.join(labels.filter("doc_id % 2 = 1"), "doc_id").filter("length(text) between 400 and 20000").orderBy("doc_id").collect()
+    good = [r.text.split("\n") for r in rows if r.quality == 1]
+    bad = [r.text.split("\n") for r in rows if r.quality == 0]
+    lines = [line for text in bad for line in text if len(line.split()) >= 4]
+    found = planted = kept = own = one_label = n = 0
+    for k, text in enumerate(good):
+        if len(text) < 2:
+            continue
+        junk = [lines[(5 * k + j) % len(lines)] for j in range(4)]
+        at = len(text) // 2
+        whole = "\n".join(text[:at] + junk + text[at:]).encode()
+        got = L.line_labels(model, L.line_features(whole.split(b"\n"))[0])
+        marked = got[at : at + 4]
+        n, found, planted, one_label = n + 1, found + int((marked == 0).sum()), planted + 4, one_label + (len(set(got.tolist())) == 1)
+        kept, own = kept + int(got.sum() - marked.sum()), own + len(text)
+    print(n, found / planted, one_label / n, kept / own, model["transition"])
+    assert n >= 40 and found >= 0.9 * planted and one_label <= 0.05 * n and kept >= 0.9 * own
+
+
 def test_edges(spark):
     rows = [(None, None), (1, ""), (1, ""), (2, "word " * 200_000), (3, "\n" * 5000), (4, " ".join(f"w{i}" for i in range(60)))]
     docs = spark.createDataFrame([(*r, "x", True) for r in rows], "doc_id long, text string, kept string, n_words boolean")
