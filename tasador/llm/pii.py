@@ -9,11 +9,14 @@ pass are kept from the most probable on, unless one kept before or a base match
 overlaps. A phone number is proposed as 7 to 15 digits in groups of any length, from
 the start of a group to the end of one.
 
-The trees learn from the base matches: a candidate that overlaps a valid match of its
-kind is a positive; one that overlaps a match of another kind, is part of a longer
-token, or fails its kind's check is a negative; the others are what the trees are for
-and take no part in the fit. The fit uses a bounded sample of candidates
-(``sample``). The fitted trees become a column expression, so documents are
+The trees learn from planted texts, since a base match never comes before them. The valid base
+matches of a bounded sample of documents (``documents``, by hash of the text) are rewritten to forms that the
+base patterns miss (addresses with "(at)" or spaces, numbers with other separators,
+without "+" or with 00): positives. Lists, prices, dates, versions and mentions of like form are
+written from hashes of the same matches: negatives. Both stand in the matches' own contexts and
+in neutral ones. No feature tells what defines a label ("+", "@" as such). A candidate that fails its kind's own
+check (Luhn, octets, number of digits) or is part of a longer token is never added, and a kind without both labels among the held-out
+candidates gets no additions. The fitted trees become a column expression, so documents are
 searched and scored where they are read, in one pass, with nothing shuffled.
 
 Matches are located by splitting the text at a pattern and adding up the lengths of
@@ -58,7 +61,8 @@ WORDS = {
     "email": "mail|contact|write",
     "ip": "ip|host|server|addr",
 }
-FEATURES = 19
+FEATURES = 30
+TLD = "com|org|net|edu|gov|info|biz|io|example|test|de|fr|es|it|uk|eu|nl|us|ca|ar|br"
 SPAN = "array<struct<kind:int,start:int,end:int>>"
 
 
@@ -140,25 +144,39 @@ def overlap(a: Column, b: Column) -> Column:
 
 def features(kind: int, c: Column) -> list[Column]:
     """FEATURES numbers (as double) of a candidate's format and context."""
-    m, before, after = c["m"], F.lower(c["before"]), c["after"]
+    m, before = F.regexp_replace(c["m"], r"^\+", ""), F.lower(c["before"])
     n = F.length(digits(m))
+    groups = F.transform(F.filter(F.split(m, "[^0-9]+"), lambda g: g != ""), lambda g: F.length(g))
+    size = F.size(groups)
+    separators = F.filter(F.split(m, "[0-9A-Za-z]+"), lambda g: g != "")
     flags = [
         F.lit(kind),
         F.length(m),
         n,
         F.length(m) - n,
         F.length(F.regexp_replace(m, "[^A-Za-z]", "")),
-        F.size(F.split(m, "[^0-9]+")),
+        size,
         luhn(m),
         octets(F.regexp_replace(m, r"[^0-9]+", "."), r"\."),
-        m.contains("@"),
-        m.startswith("+"),
-        before.rlike(r"[\p{L}\p{N}_]$"),
-        after.rlike(r"^[\p{L}\p{N}_]"),
         *[before.rlike(words) for words in WORDS.values()],
         F.size(F.array_distinct(F.split(digits(m), ""))),
         before.rlike(r"[=/#:]\s?$"),
         m.contains("("),
+        F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit(""))),
+        m.contains(","),
+        m.rlike(r"(?i)[(\[{](at|dot|\.)[)\]}]"),
+        F.length(F.regexp_extract(m, "[A-Za-z]*$", 0)),
+        m.rlike(f"(?i)[^A-Za-z](?:{TLD})$"),
+        m.rlike(r"\s[A-Z][a-z]*$"),
+        m.rlike(r"\s@\S"),
+        m.rlike(r"(?i)^[0-9]+\s?(@|[(\[{]at)"),
+        F.coalesce(F.get(groups, F.lit(0)), F.lit(0)),
+        F.coalesce(F.element_at(F.when(size > 0, groups), -1), F.lit(0)),
+        F.coalesce(F.array_max(groups), F.lit(0)),
+        F.coalesce(F.array_min(groups), F.lit(0)),
+        m.startswith("0"),
+        F.size(F.array_distinct(separators)),
+        m.rlike(r"(?<![0-9])(?:19|20)[0-9]{2}(?![0-9])|(?<![0-9])(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])[0-3][0-9](?![0-9])"),
     ]
     assert len(flags) == FEATURES
     return [x.cast("double") for x in flags]
@@ -170,21 +188,27 @@ def base_matches(t: Column, k: int, kind: str) -> Column:
 
 
 def candidates(found: Column, base: Column, k: int, kind: str) -> Column:
+    """Those of ``found`` that overlap no base match, are no part of a longer token and pass their
+    kind's check, with their features."""
+    n = lambda c: F.length(digits(c["m"]))
+    passes = {
+        "email": lambda c: F.lit(True),
+        "ip": lambda c: octets(F.regexp_replace(c["m"], r"[^0-9]+", ".")),
+        "card": lambda c: n(c).between(13, 19) & luhn(c["m"]),
+        "phone": lambda c: n(c).between(7, 15),
+    }[kind]
+
     def one(c):
         x = features(k, c)
-        n, attached = x[2], (x[10] + x[11]) > 0
-        fails = {"email": F.lit(False), "ip": x[7] == 0, "card": ~n.between(13, 19) | (x[6] == 0), "phone": ~n.between(7, 15)}[kind]
-        same = F.exists(base, lambda b: (b["kind"] == k) & overlap(b, c))
-        other = F.exists(base, lambda b: (b["kind"] != k) & overlap(b, c))
-        label = F.when(same, 1).when(other | attached | fails, 0)
-        return F.struct(F.lit(k).alias("kind"), c["start"].alias("start"), c["end"].alias("end"), F.array(*x).alias("x"), label.alias("label"))
+        return F.struct(F.lit(k).alias("kind"), c["start"].alias("start"), c["end"].alias("end"), F.array(*x).alias("x"))
 
-    return F.transform(found, one)
+    whole = lambda c: ~c["before"].rlike(r"[\p{L}\p{N}_]$") & ~c["after"].rlike(r"^[\p{L}\p{N}_]")
+    return F.transform(F.filter(found, lambda c: whole(c) & ~F.exists(base, lambda b: overlap(b, c)) & passes(c)), one)
 
 
 def with_candidates(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with __base (the valid base matches of all kinds) and __cand
-    (candidates with their features and label: 1, 0, or null where there is none)."""
+    """``df`` with __t (the text, null as empty), __base (the valid base matches of all kinds) and __cand
+    (the candidates)."""
     t = F.col("__t")
     df = df.withColumn("__t", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     for k, kind in enumerate(KINDS):
@@ -223,6 +247,11 @@ class Trees:
         return out
 
 
+def of_kind(k: int, tree: tuple) -> tuple:
+    """The tree for candidates of kind ``k``, nothing for others."""
+    return (0, k + 0.5, (0, k - 0.5, (0.0,), tree), (0.0,))
+
+
 def tree_of(node) -> tuple:
     if node.getClass().getSimpleName() == "LeafNode":
         return (float(node.prediction()),)
@@ -230,39 +259,169 @@ def tree_of(node) -> tuple:
     return (int(split.featureIndex()), float(split.threshold()), tree_of(node.leftChild()), tree_of(node.rightChild()))
 
 
-def fit(df: DataFrame, text: str = "text", sample: int = 20_000, rounds: int = 10, depth: int = 3, precision: float = 0.9, bins: int = 50) -> Trees:
-    """Trees fitted on at most ``sample`` labelled candidates, four fifths of
-    them; on the others the lowest probability is found above which at least
-    ``precision`` (with one negative added) of a kind's candidates are positives. A kind without such
-    a probability, and all of them where a label is missing, get no additions."""
-    rows = with_candidates(df.select(F.col(f"`{text}`").alias("text")), "text").select("__t", F.explode("__cand").alias("c")).filter("c.label is not null")
-    order = F.xxhash64("__t", "c.kind", "c.start")
-    rows = rows.select(order.alias("h"), "c.kind", "c.x", F.col("c.label").cast("double").alias("label")).orderBy("h", "kind").limit(sample)
-    rows = written(rows, "candidates").withColumn("held", F.pmod("h", F.lit(5)) == 0)
-    if len(rows.filter("not held").groupBy("label").count().collect()) < 2:
-        return Trees()
-    data = rows.filter("not held").select(array_to_vector("x").alias("features"), "label")
-    model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7).fit(data)
-    trees = Trees([(w, tree_of(t._java_obj.rootNode())) for t, w in zip(model.trees, model.treeWeights, strict=True)])
-    level = F.floor(trees.probability(F.col("x")) * bins).cast("int")
+NEUTRAL = ("with ", "of ", "is ", "to ", "from ", "the ", "and ", "see ", "(", "on ")
+NOUNS = ("home", "work", "python", "look", "noon", "school", "node", "item", "him", "media", "user", "price")
+
+
+def planted(kind: Column, m: Column) -> Column:
+    """array<struct<kind, s, good>>: texts written from a base match ``m`` of a kind. Positives are forms of
+    the match that no base pattern takes, negatives of all kinds are built of its hashes."""
+    number = lambda i, low, high: (F.lit(low) + F.pmod(F.xxhash64(m, F.lit(i)), F.lit(high - low + 1))).cast("string")
+    two = lambda i, low, high: F.lpad(number(i, low, high), 2, "0")
+    word = lambda i: F.element_at(F.array(*map(F.lit, NOUNS)), (F.pmod(F.xxhash64(m, F.lit(i)), F.lit(len(NOUNS))) + 1).cast("int"))
+    d, join = digits(m), lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    cut = lambda x, start, size: F.substring(x, start, size)
+    local, domain = F.regexp_extract(m, "^[^@]*", 0), F.regexp_extract(m, "[^@]*$", 0)
+    dotted = lambda x, by: F.replace(x, F.lit("."), F.lit(by))
+    fours = lambda by: F.concat_ws(by, cut(d, 1, 4), cut(d, 5, 4), cut(d, 9, 4), cut(d, 13, 7))
+    # ten digits, as numbers of a national plan have; those of the match come last
+    ten = F.concat(number(20, 2, 9), F.lpad(F.substring(d, -9, 9), 9, "7"))
+    positives = {
+        "email": [
+            *[join(local, f"{s}{o}at{c}{s}", dotted(domain, f"{s}{o}dot{c}{s}")) for o, c in ("()", "[]", "{}") for s in ("", " ")],
+            *[join(local, f"{s}{o}at{c}{s}", domain) for o, c in ("()", "[]") for s in ("", " ")],
+            join(local, " @ ", domain),
+            join(local, " @ ", dotted(domain, " . ")),
+            join(local, "@", dotted(domain, "(dot)")),
+        ],
+        "ip": [dotted(m, by) for by in ("[.]", "(.)", " . ", " [.] ")],
+        "card": [fours(by) for by in (".", "/", "_", "  ", "- ", " .")],
+        "phone": [
+            join("00", d),
+            *[join("00", cut(d, 1, 2), " ", cut(d, 3, area), " ", cut(d, 3 + area, 10)) for area in (2, 3, 4)],
+            ten,
+            join("(", cut(ten, 1, 3), ") ", cut(ten, 4, 3), "-", cut(ten, 7, 4)),
+            *[F.concat_ws(by, cut(ten, 1, 3), cut(ten, 4, 3), cut(ten, 7, 4)) for by in "-. /"],
+            join("0", cut(ten, 1, 3), " ", cut(ten, 4, 7)),
+            join("0", cut(ten, 1, 3), "/", cut(ten, 4, 7)),
+            join("(0", cut(ten, 1, 3), ") ", cut(ten, 4, 7)),
+            join("0", cut(ten, 1, 2), "-", cut(ten, 3, 8)),
+            join("1-", cut(ten, 1, 3), "-", cut(ten, 4, 3), "-", cut(ten, 7, 4)),
+            cut(ten, 1, 7),
+        ],
+    }
+    few, year, day = [number(30 + i, 1, 20) for i in range(8)], number(40, 1950, 2029), [two(41 + i, 1, 28) for i in range(4)]
+    month, tens, hundreds = [two(50 + i, 1, 12) for i in range(2)], [number(60 + i, 1, 99) for i in range(9)], [number(70 + i, 100, 999) for i in range(6)]
+    octet = [number(80 + i, 0, 255) for i in range(4)]
+    half = [join(number(90 + i, 1, 9), ".", number(100 + i, 0, 9)) for i in range(9)]
+    negatives = {
+        "email": [
+            join(tens[0], " @ ", tens[1], ".", tens[2]),
+            join(word(1), " @ ", word(2), ". ", F.initcap(word(3))),
+            join(word(4), " @ ", word(5), " . ", F.initcap(word(6))),
+            join(word(7), " @", word(8), ".", word(9)),
+            join(word(10), " (at) ", word(11), ". ", F.initcap(word(12))),
+            join(tens[3], " @ ", half[0], " . "),
+            join(word(13), " @", word(14), "-", tens[5], ".", word(15)),
+        ],
+        "ip": [
+            *[F.concat_ws(by, *x[:4]) for by in (", ", ",") for x in (few, tens, octet)],
+            F.concat_ws(". ", *few[:4]),
+            join(half[0], ", ", half[1], " and"),
+            join(half[2], ",", half[3], " m"),
+            join(half[4], " , ", half[5]),
+            join(few[4], ", ", half[6], ", ", few[5]),
+        ],
+        "card": [
+            *[F.concat_ws(" ", *half[:k]) for k in (7, 8, 9)],
+            *[F.concat_ws("/", *half[:k]) for k in (7, 8)],
+            *[join(year, by, month[0], by, day[0], " ", number(110 + i, 1950, 2029), by, month[1], by, day[1]) for i, by in enumerate("/._")],
+            *[F.concat_ws(by, *hundreds[:5]) for by in ("  ", ". ", "/", "_", ".")],
+            *[F.concat_ws(by, *tens[:k]) for by in ("  ", ". ", "/") for k in (8, 9)],
+        ],
+        "phone": [
+            *[F.concat_ws(by, year, month[0], day[0]) for by in ("-", "/", ".", "")],
+            *[F.concat_ws(by, day[1], month[1], year) for by in ("-", "/", ".")],
+            *[join(year, by, number(120, 1950, 2029)) for by in ("-", " - ", "/", " ")],
+            join(year, "-", month[1], "-", day[2], " ", tens[0]),
+            *[F.concat_ws(by, few[0], hundreds[0], hundreds[1]) for by in (" ", ".")],
+            *[F.concat_ws(by, tens[0], hundreds[2], hundreds[3]) for by in (" ", ".")],
+            F.concat_ws(" ", tens[1], *hundreds[:3]),
+            F.concat_ws(" ", *hundreds[:4]),
+            F.concat_ws(" ", *few),
+            F.concat_ws(" ", *tens[:6]),
+            F.concat_ws("-", *tens[:5]),
+            F.concat_ws("/", *tens[:5]),
+            F.concat_ws(" ", *half[:5]),
+            join(hundreds[0], ".", tens[1], " ", hundreds[1], ".", tens[2]),
+            join("978-", number(130, 0, 9), "-", tens[3], "-", hundreds[4], hundreds[5], "-", number(131, 0, 9)),
+        ],
+    }
+    row = lambda k, x, good: F.struct(F.lit(k).alias("kind"), x.alias("s"), F.lit(good).alias("good"))
+    own = F.array().cast("array<struct<kind:int,s:string,good:int>>")
+    for k, name in enumerate(KINDS):
+        own = F.when(kind == k, F.array(*[row(k, x, 1) for x in positives[name]])).otherwise(own)
+    return F.concat(own, F.array(*[row(k, x, 0) for k, name in enumerate(KINDS) for x in negatives[name]]))
+
+
+def examples(df: DataFrame, matches: int) -> DataFrame:
+    """(h, kind, x, label) of planted texts of at most ``matches`` base matches of each kind, those of
+    the smallest hashes; h is the hash of the match that a text was made of."""
+    t, found = F.col("__t"), []
+    df = df.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__t"))
+    for k, kind in enumerate(KINDS):
+        found.append(F.transform(F.filter(located(t, BASE[kind], HINTS["base"][kind](t)), lambda s: valid(kind, s["m"])), lambda s: F.struct(F.lit(k).alias("kind"), s["m"].alias("m"), s["before"].alias("before"), s["after"].alias("after"))))
+    rows = written(df.select(F.explode(F.concat(*found)).alias("b")).select("b.*", F.xxhash64("b.m").alias("h")), "matches")
+    parts = [rows.filter(F.col("kind") == k).dropDuplicates(["m"]).orderBy("h", "m").limit(matches) for k in range(len(KINDS))]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    neutral = F.element_at(F.array(*map(F.lit, NEUTRAL)), (F.pmod(F.xxhash64("m", "s"), F.lit(len(NEUTRAL))) + 1).cast("int"))
+    rows = rows.repartition(16).select("h", "m", "before", "after", F.explode(planted(F.col("kind"), F.col("m"))).alias("p")).select("h", "m", "before", "after", "p.*")
+    rows = rows.withColumn("lead", F.when(F.pmod(F.xxhash64("s", "m", F.lit(2)), F.lit(2)) == 0, neutral).otherwise(F.col("before")))
+    rows = rows.select("h", F.col("kind").alias("planted"), "good", F.length("lead").alias("at"), F.length("s").alias("size"), F.concat("lead", "s", F.when(F.length("after") > 0, F.col("after")).otherwise(F.lit(" "))).alias("text"))
+    c = F.col("c")
+    rows = with_candidates(rows, "text").select("h", "planted", "good", "at", "size", F.explode("__cand").alias("c")).filter(c["kind"] == F.col("planted"))
+    whole = (c["start"] == F.col("at")) & (c["end"] == F.col("at") + F.col("size"))
+    meets = (c["start"] < F.col("at") + F.col("size")) & (c["end"] > F.col("at"))
+    label = F.when((F.col("good") == 1) & whole, 1.0).when((F.col("good") == 0) & meets, 0.0)
+    return rows.select("h", "c.kind", "c.x", label.alias("label")).filter("label is not null")
+
+
+def fit(df: DataFrame, text: str = "text", documents: int = 50_000, matches: int = 400, rounds: int = 10, depth: int = 4, precision: float = 0.95, bins: int = 50) -> Trees:
+    """Trees, ``rounds`` a kind, fitted on the planted texts of at most ``matches`` base matches a kind, found in
+    about ``documents`` documents (all, if there are fewer), four fifths of them; on the others the lowest probability is
+    found above which at least ``precision`` of a kind's candidates are positives, either label
+    weighing the same in sum (and one negative added). A kind without such a probability, or without 5 held-out
+    candidates of either label, gets no additions."""
+    df = df.select(F.col(f"`{text}`").alias("text"))
+    n = df.count()
+    if n > documents:
+        df = df.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * documents / n))
+    rows = written(examples(df, matches), "candidates").withColumn("held", F.pmod("h", F.lit(5)) == 0)
+    seen = {(r.kind, r.label) for r in rows.filter("not held").select("kind", "label").distinct().collect()}
+    trees = Trees()
+    for k in range(len(KINDS)):
+        if {(k, 0.0), (k, 1.0)} <= seen:
+            data = rows.filter(f"not held and kind = {k}").select(array_to_vector("x").alias("features"), "label").coalesce(4)
+            model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7).fit(data)
+            trees.trees += [(w, of_kind(k, tree_of(t._java_obj.rootNode()))) for t, w in zip(model.trees, model.treeWeights, strict=True)]
+    if not trees.trees:
+        return trees
+    level = F.floor(F.transform(F.array("x"), trees.probability)[0] * bins).cast("int")  # as in ``find``, within a lambda: too long for generated code
     counts = rows.filter("held").groupBy("kind", F.least(level, F.lit(bins - 1)).alias("bin")).agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
     for kind in {r.kind for r in counts}:
-        good = n = 0
-        for r in sorted((r for r in counts if r.kind == kind), key=lambda r: -r.bin):
-            good, n = good + r.good, n + r.n
-            if good >= precision * (n + 1):
+        own = sorted((r for r in counts if r.kind == kind), key=lambda r: -r.bin)
+        goods, bads = sum(r.good for r in own), sum(r.n - r.good for r in own)
+        if min(goods, bads) < 5:
+            continue
+        good = bad = 0
+        for r in own:
+            good, bad = good + r.good, bad + r.n - r.good
+            share, wrong = good / goods, (bad + 1) / (bads + 1)
+            if share >= precision * (share + wrong):
                 trees.thresholds[kind] = r.bin / bins
     return trees
 
 
 def selected(spans: Column) -> Column:
     """SPAN: those of ``spans`` (kind, start, end, p) kept when they are taken from the
-    most probable on and none may overlap one kept before. The ones that
+    most probable on (of equal ones the longest) and none may overlap one kept before. The ones that
     overlap nothing are kept without that walk."""
     other = lambda c, d: overlap(c, d) & ((c["kind"] != d["kind"]) | (c["start"] != d["start"]) | (c["end"] != d["end"]))
     bare = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
     contested = lambda c: F.exists(spans, lambda d: other(c, d))
-    order = F.array_sort(F.transform(F.filter(spans, contested), lambda c: F.struct((-c["p"]).alias("least"), c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))
+    order = F.array_sort(F.transform(F.filter(spans, contested), lambda c: F.struct((-c["p"]).alias("least"), (c["start"] - c["end"]).alias("longest"), c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))
     kept = F.aggregate(order, F.array().cast(SPAN), lambda a, c: F.when(F.exists(a, lambda d: overlap(c, d)), a).otherwise(F.concat(a, F.array(bare(c))).cast(SPAN)))
     return F.concat(F.transform(F.filter(spans, lambda c: ~contested(c)), bare).cast(SPAN), kept)
 
@@ -275,12 +434,12 @@ def find(df: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
     A null text counts as empty. Keys play no part, so null or repeated ones
     and repeated rows are searched each. Input columns named as results are
     replaced."""
-    found = with_candidates(df.drop("base_spans", "spans"), text)
+    df = df.drop("base_spans", "spans")
+    found = with_candidates(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{text}`").alias("text")), "text")
     base = F.col("__base")
-    free = F.filter("__cand", lambda c: ~F.exists(base, lambda b: overlap(b, c)) & c["x"].isNotNull())
-    scored = F.transform(free, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), trees.probability(c["x"]).alias("p")))
+    scored = F.transform("__cand", lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), trees.probability(c["x"]).alias("p")))
     found = found.withColumn("__free", F.filter(scored, lambda c: c["p"] >= trees.threshold(c["kind"])) if trees.trees else F.array().cast("array<struct<kind:int,start:int,end:int,p:double>>"))
-    return found.withColumns({"base_spans": F.array_sort(base.cast(SPAN)), "spans": F.array_sort(F.concat(base, selected(F.col("__free"))).cast(SPAN))}).drop("__t", "__base", "__cand", "__free")
+    return found.select("row.*", F.array_sort(base.cast(SPAN)).alias("base_spans"), F.array_sort(F.concat(base, selected(F.col("__free"))).cast(SPAN)).alias("spans"))
 
 
 def count(spans: Column, kind: int) -> Column:
