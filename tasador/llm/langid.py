@@ -14,7 +14,8 @@ For every language l, and for "und" (none of those known),
   suffix and overall, each smoothed towards the one above it:
   P(l | suffix) = (n(suffix, l) + k P(l)) / (n(suffix) + k), and so for hosts.
 
-The grouped sums are combined before their shuffle, so a host with a third of all
+Languages are positions of arrays, and sums have a row a language, so no expression grows with their
+number. The grouped sums are combined before their shuffle, so a host with a third of all
 rows is one row a task there. The host table joins back as a plain table: Spark
 broadcasts it if its measured size allows, else it splits skewed hosts.
 """
@@ -32,6 +33,7 @@ from .common import utf8, written
 
 BUCKETS = 1 << 16
 NONE = "und"
+RARE = "rare"  # stands for every tag that too few rows declare; no tag has four letters
 
 
 def trigrams(text: bytes) -> np.ndarray:
@@ -103,27 +105,36 @@ def posterior(x: np.ndarray) -> np.ndarray:
 
 
 def identify(df: DataFrame, text: str = "text", declared: Column | None = None, host: Column | None = None, temper: float = 0.2, unknown: float = 0.01,
-             strength: float = 50.0, min_posterior: float = 0.5) -> DataFrame:
+             strength: float = 50.0, min_posterior: float = 0.5, least_documents: int = 5) -> DataFrame:
     """``df`` with the columns ``language``, ``posterior``, ``text_posterior`` (of
     that language by the text alone) and ``accepted``: the language is not "und", its
     posterior reaches ``min_posterior``, and the text holds a letter.
 
     ``declared`` and ``host`` are expressions over ``df``; without one, or where
-    it is null, that evidence is left out (a null host takes the overall prior). A null
-    text counts as empty: the other evidence decides, and it is not accepted.
-    Repeated rows count each. Input columns named as results are replaced."""
+    it is null, that evidence is left out (a null host takes the overall prior). The languages known
+    are the tags that ``least_documents`` rows declare; all rarer tags are one, which speaks for no
+    language of its own. A null text counts as empty: the other evidence decides, and it is not accepted.
+    Repeated rows count each. Input columns named as results are replaced, all others kept, whatever their names."""
     names = ["language", "posterior", "text_posterior", "accepted"]
-    own = ["__text", "__declared", "__host", "__suffix", "__logs"]
+    kept = [c for c in df.columns if c.lower() not in names]
+    mark = "__"
+    while any(c.lower().startswith(mark) for c in df.columns):
+        mark += "_"
+    TEXT, TAG, HOST, SUFFIX, LOGS, K, P = [mark + c for c in ("text", "tag", "host", "suffix", "logs", "k", "p")]
+    KEY, ABOVE, PRIOR, TOLD, FUSED, BEST, AT = [mark + c for c in ("key", "above", "prior", "told", "fused", "best", "at")]
     host = F.lit(None).cast("string") if host is None else host.cast("string")
     base = df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in names],
-        utf8(text).alias("__text"),
-        declared_tag(F.lit(None) if declared is None else declared).alias("__declared"),
-        F.lower(host).alias("__host"),
-        suffix_of(host).alias("__suffix"),
+        *[F.col(f"`{c}`") for c in kept],
+        utf8(text).alias(TEXT),
+        declared_tag(F.lit(None) if declared is None else declared).alias(TAG),
+        F.lower(host).alias(HOST),
+        suffix_of(host).alias(SUFFIX),
     )
     spark = df.sparkSession
-    model = TextModel.train(base.select(F.col("__text").alias("text"), F.col("__declared").alias("declared")))
+    # tags have two or three letters, so there are 18,252 at most
+    often = [r[0] for r in base.filter(F.col(TAG).isNotNull()).groupBy(TAG).count().filter(F.col("count") >= least_documents).collect()]
+    base = base.withColumn(TAG, F.when(F.col(TAG).isNull() | F.col(TAG).isin(often), F.col(TAG)).otherwise(F.lit(RARE)))
+    model = TextModel.train(base.filter(F.col(TAG) != RARE).select(F.col(TEXT).alias("text"), F.col(TAG).alias("declared")))
     shared = spark.sparkContext.broadcast((model.logs, temper))
     languages = model.languages
     size = len(languages)
@@ -135,46 +146,57 @@ def identify(df: DataFrame, text: str = "text", declared: Column | None = None,
         table, a = shared.value
         return pd.Series([(table[:, trigrams(t)].sum(1, dtype=np.float64) * a).tolist() for t in texts])
 
-    scored = base.withColumn("__logs", logs("__text"))
-
-    # grouped sums of the text posteriors: by (host, suffix, declared), one row each
-    top = F.array_max("__logs")
-    unnorm = F.transform("__logs", lambda x: F.exp(x - top))
-    total = F.aggregate(unnorm, F.lit(0.0), lambda a, x: a + x)
-    share = [F.sum(unnorm[k] / total).alias(f"p{k}") for k in range(size)]
-    facts = scored.groupBy("__host", "__suffix", "__declared").agg(*share)
-    facts = written(facts, "facts")
-    sums = [F.sum(f"p{k}").alias(f"p{k}") for k in range(size)]
-
-    # the table of declared against spoken languages: its rows are language tags
-    by_tag = {r["__declared"]: np.array([r[f"p{k}"] for k in range(size)]) for r in facts.groupBy("__declared").agg(*sums).collect()}
+    scored = base.withColumn(LOGS, logs(TEXT))
+    top = F.array_max(LOGS)
+    added = lambda x: F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
+    relative = F.transform(LOGS, lambda x: F.exp(x - top))
+
+    # grouped sums of the text posteriors: a row a (host, suffix, tag) and language
+    shares = scored.select(HOST, SUFFIX, TAG, relative.alias(P)).withColumn(ABOVE, added(F.col(P)))
+    shares = shares.select(HOST, SUFFIX, TAG, ABOVE, F.posexplode(P).alias(K, P)).withColumn(P, F.col(P) / F.col(ABOVE))
+    facts = written(shares.groupBy(HOST, SUFFIX, TAG, K).agg(F.sum(P).alias(P)), "facts")
+
+    def by(*keys: str) -> DataFrame:
+        """The sums by ``keys``, an array over the languages in ``P``."""
+        sums = facts.filter(F.col(keys[0]).isNotNull()).groupBy(*keys, K).agg(F.sum(P).alias(P))
+        rows = sums.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(K, P))).alias(P))  # an entry a language
+        return rows.withColumn(P, F.col(f"{P}.{P}"))
+
+    # the table of declared against spoken languages: its rows are language tags, RARE and null
+    by_tag: dict[str | None, np.ndarray] = {}
+    for tag, k, p in facts.groupBy(TAG, K).agg(F.sum(P)).collect():
+        by_tag.setdefault(tag, np.zeros(size))[k] = p
     overall = sum(by_tag.values(), np.zeros(size))
     prior = (overall + 1) / (overall + 1).sum()
     prior = np.append(prior[:-1] / prior[:-1].sum() * (1 - unknown), unknown) if size > 1 else np.ones(1)
     tags = [t for t in by_tag if t is not None]
     spoken = sum((by_tag[t] for t in tags), np.zeros(size))
-    told = {t: np.log((by_tag[t] + 1) / (spoken + len(tags) + 1)) for t in tags}
-    told = spark.createDataFrame([(t, v.tolist()) for t, v in told.items()], "tag string, told array<double>")
+    told = [(t, np.log((by_tag[t] + 1) / (spoken + len(tags) + 1)).tolist()) for t in tags]
+    told = spark.createDataFrame(told, f"`{KEY}` string, `{TOLD}` array<double>")
 
     # priors: overall, then suffix, then host
-    plus = lambda parent: F.array(*[(F.col(f"p{k}") + strength * parent[k]) / (sum(F.col(f"p{j}") for j in range(size)) + strength) for k in range(size)])
     known = F.array(*map(F.lit, prior.tolist()))
-    suffixes = facts.filter("__suffix is not null").groupBy("__suffix").agg(*sums).select(F.col("__suffix").alias("s"), plus(known).alias("above"))
-    hosts = facts.filter("__host is not null").groupBy("__host", "__suffix").agg(*sums).join(suffixes, F.col("__suffix") == F.col("s"), "left")
-    hosts = hosts.withColumn("above", F.coalesce("above", known)).select(F.col("__host").alias("h"), plus(F.col("above")).alias("host_prior"))
-    hosts = written(hosts, "hosts")
-
-    joined = scored.join(hosts, F.col("__host") == F.col("h"), "left").join(F.broadcast(told), F.col("__declared") == F.col("tag"), "left")
-    fused = F.array(*[F.col("__logs")[k] + F.log(F.coalesce(F.col("host_prior")[k], F.lit(float(prior[k])))) + F.coalesce(F.col("told")[k], F.lit(0.0)) for k in range(size)])
-    joined = joined.withColumn("__fused", fused).withColumn("__best", F.array_max("__fused"))
-    weights = F.transform("__fused", lambda x: F.exp(x - F.col("__best")))
-    at = F.array_position("__fused", F.col("__best")).cast("int")  # ties: the first tag in alphabetical order
-    result = joined.withColumn("__at", at).select(
-        *[F.col(f"`{c}`") for c in base.columns if c not in own],
-        F.element_at(F.array(*map(F.lit, languages)), F.col("__at")).alias("language"),
-        (1 / F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)).alias("posterior"),
-        (F.exp(F.element_at("__logs", F.col("__at")) - top) / total).alias("text_posterior"),
-        F.col("__text").cast("string").rlike(r"\p{L}").alias("__letter"),
+
+    def smoothed(table: DataFrame, above: str, name: str) -> DataFrame:
+        """The sums of ``table`` as shares, smoothed towards the array ``above``."""
+        total = mark + "total"
+        return table.withColumn(total, added(F.col(P))).withColumn(name, F.zip_with(P, above, lambda n, q: (n + strength * q) / (F.col(total) + strength))).drop(P, total)
+
+    suffixes = smoothed(by(SUFFIX).withColumn(PRIOR, known), PRIOR, ABOVE).select(F.col(SUFFIX).alias(KEY), ABOVE)
+    hosts = by(HOST, SUFFIX).join(suffixes, F.col(SUFFIX) == F.col(KEY), "left").withColumn(ABOVE, F.coalesce(ABOVE, known))
+    hosts = written(smoothed(hosts, ABOVE, PRIOR).select(F.col(HOST).alias(P), F.transform(PRIOR, lambda x: F.log(x)).alias(PRIOR)), "hosts")
+
+    joined = scored.join(hosts, F.col(HOST) == F.col(P), "left").join(F.broadcast(told), F.col(TAG) == F.col(KEY), "left")
+    plus = lambda a, b: a + b
+    fused = F.zip_with(F.zip_with(LOGS, F.coalesce(PRIOR, F.array(*map(F.lit, np.log(prior).tolist()))), plus), F.coalesce(TOLD, F.array_repeat(F.lit(0.0), size)), plus)
+    joined = joined.withColumn(FUSED, fused).withColumn(BEST, F.array_max(FUSED))
+    joined = joined.withColumn(AT, F.array_position(FUSED, F.col(BEST)).cast("int"))  # ties: the first tag in alphabetical order
+    result = joined.select(
+        *[F.col(f"`{c}`") for c in kept],
+        F.element_at(F.array(*map(F.lit, languages)), F.col(AT)).alias("language"),
+        (1 / added(F.transform(FUSED, lambda x: F.exp(x - F.col(BEST))))).alias("posterior"),
+        (F.exp(F.element_at(LOGS, F.col(AT)) - top) / added(relative)).alias("text_posterior"),
+        F.col(TEXT).cast("string").rlike(r"\p{L}").alias(mark + "letter"),
     )
-    accepted = (F.col("language") != NONE) & (F.col("posterior") >= min_posterior) & F.col("__letter")
-    return result.withColumn("accepted", accepted).drop("__letter")
+    accepted = (F.col("language") != NONE) & (F.col("posterior") >= min_posterior) & F.col(mark + "letter")
+    return result.withColumn("accepted", accepted).drop(mark + "letter")

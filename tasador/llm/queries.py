@@ -124,6 +124,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("lang").alias("declared"), "language", "posterior", "text_posterior", F.col("accepted").alias("kept"))
 
 
+@register("langid_pages")
+def langid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 where all its evidence is at hand: the markup's language, the address suffix and the host of each page."""
+    pages = read_table(spark, sf_dir, "pages")
+    html = F.coalesce("html", F.lit(""))
+    visible = pages.withColumn("visible", F.regexp_replace(html, r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " "))
+    tag = F.regexp_extract(html, r'<html[^>]*\blang="([^"]*)"', 1)
+    found = langid.identify(visible, text="visible", declared=tag, host=F.regexp_extract(F.coalesce("url", F.lit("")), "//([^/:]+)", 1))
+    return found.select("page_id", tag.alias("declared"), "language", "posterior", "text_posterior", F.col("accepted").alias("kept"))
+
+
 @register("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, threshold=2)
