@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +59,19 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is run inside, so that a task
+    holds few long texts at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def utf8(text: str = "text") -> Column:
     """The UTF-8 bytes of a text column, null as no bytes."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
