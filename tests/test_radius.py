@@ -2,6 +2,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,35 @@ def test_dense_two_level_equals_brute_force(spark):
     for tid, (n, mean) in want.items():
         assert got[tid]["n_nearby"] == n
         assert got[tid]["neighborhood_area_mean"] == pytest.approx(mean, rel=1e-9)
+
+
+@pytest.mark.parametrize("lat,lon,dlat,dlon,radius", [(-34.7, -58.53, 0.18, 0.2, 2.0), (60, 179.9, 0.1, 0.2, 2.0), (89.9, -180, 0.1, 360, 2.0),
+                                                      (0, 0, 1e-3, 0, 0.05), (-2, 10, 3, 3, 80.0)])
+def test_circle_sums_equal_all_pairs(lat, lon, dlat, dlon, radius):
+    from tasador.operators.radius import _all_pairs, circle_sums
+    rng = np.random.default_rng(3)
+    p = [(lat + rng.random(n) * dlat, (lon + rng.random(n) * dlon + 180) % 360 - 180) for n in (60, 1500)]
+    values = [rng.integers(0, 9, 1500) * 0.5, rng.normal(0, 50, 1500)]
+    want = _all_pairs(*p[0], *p[1], values, radius)
+    for few in (0, 32, 10**9):
+        got = circle_sums(*p[0], *p[1], values, radius, few)
+        assert (got[0] == want[0]).all() and (got[2] == want[2]).all() and np.allclose(got[1], want[1], atol=1e-9)
+    values[1][7] = np.inf  # reaches only the circles that hold it
+    assert np.isfinite(circle_sums(*p[0], *p[1], values, radius)[1]).tolist() == np.isfinite(_all_pairs(*p[0], *p[1], values, radius)[1]).tolist()
+
+
+def test_shuffled_rows_grow_with_the_points(spark):
+    # Before, a target went to each of some 240 cells of its circle.
+    from tasador.operators.radius import choose_tiles
+    rnd = random.Random(6)
+    pts = spark.createDataFrame([(-34.7 + rnd.random() * 0.18, -58.53 + rnd.random() * 0.2) for _ in range(3000)], "r_lat double, r_lon double")
+    tiles = choose_tiles(pts, 2.0)
+    assert tiles.of_reference(pts, "r_lat", "r_lon").count() <= 4 * 3000
+    assert tiles.of_targets(pts, "r_lat", "r_lon").count() == 3000
+
+
+def test_tiles_meet_across_the_antimeridian_and_poles(spark):
+    refs = [(1, 10.0, 60.0, -179.995), (2, 20.0, 60.001, 179.99), (3, 40.0, 89.999, 5.0), (4, 80.0, 89.999, -170.0), (5, 160.0, 0.0, 0.0)]
+    tgts = [(10, 1.0, 60.0, 179.995), (11, 1.0, 89.9995, 100.0), (12, 1.0, float("nan"), 3.0)]
+    got = {x["listing_id"]: x["n_nearby"] for x in radius_stats(spark.createDataFrame(tgts, SCHEMA), spark.createDataFrame(refs, SCHEMA), fallback=False, hot_cell_points=1).collect()}
+    assert got == {10: 2, 11: 2, 12: 0}
