@@ -11,6 +11,7 @@ from ..functions.segments import DEFAULT_SEGMENTS, segment_expr
 from ..operators import evaluate as E
 from ..operators.prep import standardize as standardize_op
 from ..operators.prep import train_test_split as split_op
+from ..session import materialize
 from ..sources.pois import importances
 from .catalog import register
 from .common import C, r
@@ -21,7 +22,8 @@ LABELS = [s.name for s in DEFAULT_SEGMENTS]
 
 def eval_frame(spark, sf):
     """Cleaned listings with segment, stratified exact split and surrogates."""
-    c = C(spark, sf).select("listing_id", "price", "area", segment_expr("price").alias("segment"))
+    # The split reads its rows several times: they are cleaned once.
+    c = materialize(C(spark, sf).select("listing_id", "price", "area", segment_expr("price").alias("segment")))
     s = split_op(c, ["segment"])
     return s.select("listing_id", "segment", "is_test", "area",
                     F.log1p("price").alias("y"),
@@ -57,7 +59,8 @@ def _metrics_sql(where: str, group: str = "segment") -> str:
 
 
 def _with_pred(spark, sf):
-    ev = eval_frame(spark, sf)
+    # Blend search and every metric read the split frame: it is computed once.
+    ev = materialize(eval_frame(spark, sf))
     best = E.best_blend(E.blend_grid(ev.filter("is_test"), "a", "b", "actual", ["segment"]), ["segment"])
     # ``best`` has one row per segment (bounded by the configuration).
     j = ev.join(F.broadcast(best), "segment")
