@@ -130,3 +130,37 @@ def test_tiles_meet_across_the_antimeridian_and_poles(spark):
     tgts = [(10, 1.0, 60.0, 179.995), (11, 1.0, 89.9995, 100.0), (12, 1.0, float("nan"), 3.0)]
     got = {x["listing_id"]: x["n_nearby"] for x in radius_stats(spark.createDataFrame(tgts, SCHEMA), spark.createDataFrame(refs, SCHEMA), fallback=False, hot_cell_points=1).collect()}
     assert got == {10: 2, 11: 2, 12: 0}
+
+
+def test_shuffled_points_are_packed_and_copies_added_up(spark):
+    # Before, every reference point was a row of 8 bytes a column for each of its tiles.
+    from tasador.operators.radius import packed, unpacked
+    rows = [(k % 3, 0, 0, -34.6 - (k % 50) / 100, -58.4, 1, None if k % 7 == 0 else 0.25) for k in range(600)]
+    df = spark.createDataFrame(rows, "ty long, tx long, salt int, r_lat double, r_lon double, n int, s double").coalesce(1)
+    got = packed(df, "r_lat", "r_lon", ["n", "s"]).toArrow()
+    assert got.num_rows == 3
+    assert {x for kinds in got.column("kinds").to_pylist() for x in kinds[:1]} == {"|u1"}
+    lat, lon, (n, s) = unpacked(got, 2)
+    assert len(lat) == len(lon) == 150 and n.sum() == 600
+    assert s.sum() == sum(r[-1] or 0 for r in rows)
+
+
+def test_reference_and_targets_are_not_checkpointed(spark, tmp_path):
+    # Before, the reference, its points and the targets' points were checkpointed as whole rows.
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        r = spark.createDataFrame(_rows(50, 1), SCHEMA)
+        assert radius_stats(r, r, fallback=False).count() == 50
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+    assert [p.name.startswith("tasador-reference-") for p in tmp_path.iterdir()] == [True]
+
+
+def test_features_are_joined_before_the_distances(spark):
+    # Before, all forty features went through the shuffle of the join.
+    from tasador.operators.features import build_features
+    rows = [(i, 50.0, 1, 1.0, 0, -34.6 - i / 1e3, -58.4, "casa") for i in range(9)]
+    df = spark.createDataFrame(rows, "listing_id long, area double, bedrooms long, bathrooms double, balcony_count long, latitude double, longitude double, property_type string")
+    plan = build_features(df, df, "listing_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "dist_to_uca" not in plan[plan.index("Join"):]
