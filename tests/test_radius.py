@@ -145,16 +145,12 @@ def test_shuffled_points_are_packed_and_copies_added_up(spark):
     assert s.sum() == sum(r[-1] or 0 for r in rows)
 
 
-def test_reference_and_targets_are_not_checkpointed(spark, tmp_path):
+def test_reference_and_targets_are_not_checkpointed(spark, monkeypatch):
     # Before, the reference, its points and the targets' points were checkpointed as whole rows.
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        r = spark.createDataFrame(_rows(50, 1), SCHEMA)
-        assert radius_stats(r, r, fallback=False).count() == 50
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
-    assert [p.name.startswith("tasador-reference-") for p in tmp_path.iterdir()] == [True]
+    r, done = spark.createDataFrame(_rows(50, 1), SCHEMA), []
+    monkeypatch.setattr(type(r), "checkpoint", lambda self, eager=True: done.append(self.columns) or self)
+    assert radius_stats(r, r, fallback=False).count() == 50
+    assert not done
 
 
 def test_features_are_joined_before_the_distances(spark):
