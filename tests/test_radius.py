@@ -145,6 +145,24 @@ def test_shuffled_points_are_packed_and_copies_added_up(spark):
     assert s.sum() == sum(r[-1] or 0 for r in rows)
 
 
+def test_shuffled_points_take_few_bytes(spark):
+    # Before, coordinates and a sum with its square took 32 bytes a point.
+    from tasador.operators.radius import packed, restored, squeezed, unpacked
+    rng = np.random.default_rng(3)
+    y, x, s = -34.7 + rng.random(2000) * 0.1, -58.5 + rng.random(2000) * 0.1, rng.normal(0, 50, 2000)
+    rows = [(0, 0, 0, a, b, c, c * c) for a, b, c in zip(y.tolist(), x.tolist(), s.tolist())]
+    df = spark.createDataFrame(rows, "ty long, tx long, salt int, r_lat double, r_lon double, s1 double, s2 double").coalesce(1)
+    got = packed(df, "r_lat", "r_lon", ["s1", "s2"]).toArrow()
+    sent = sum(len(r[c]) for r in got.to_pylist() for c in ("lat", "lon")) + sum(len(v) for r in got.to_pylist() for v in r["values"])
+    assert sent < 21 * 2000
+    lat, lon, values = unpacked(got, 2)
+    assert sorted(zip(lat, lon, *values)) == sorted(r[3:] for r in rows)
+    for odd in (np.array([0.0]), np.array([-0.0, 0.0, 5e-324, -180.0, 180.0]), np.full(3, 7.25)):
+        assert restored(squeezed(odd), len(odd)).tobytes() == odd.tobytes()
+    copies = spark.createDataFrame([*rows[:5], *rows[:5]], df.schema).coalesce(1)  # a sum of squares that is no square
+    assert unpacked(packed(copies, "r_lat", "r_lon", ["s1", "s2"]).toArrow(), 2)[2][1].sum() == pytest.approx(2 * (s[:5] ** 2).sum())
+
+
 def test_reference_and_targets_are_not_checkpointed(spark, monkeypatch):
     # Before, the reference, its points and the targets' points were checkpointed as whole rows.
     r, done = spark.createDataFrame(_rows(50, 1), SCHEMA), []
