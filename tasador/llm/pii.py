@@ -367,7 +367,9 @@ def examples(df: DataFrame, matches: int) -> DataFrame:
     for part in parts[1:]:
         rows = rows.unionByName(part)
     neutral = F.element_at(F.array(*map(F.lit, NEUTRAL)), (F.pmod(F.xxhash64("m", "s"), F.lit(len(NEUTRAL))) + 1).cast("int"))
-    rows = rows.repartition(16).select("h", "m", "before", "after", F.explode(planted(F.col("kind"), F.col("m"))).alias("p")).select("h", "m", "before", "after", "p.*")
+    # within a lambda: as generated code the texts pass 64 KB, and the attempt to compile them takes the driver's memory
+    texts = F.flatten(F.transform(F.array(F.struct("kind", "m")), lambda b: planted(b["kind"], b["m"])))
+    rows = rows.repartition(16).select("h", "m", "before", "after", F.explode(texts).alias("p")).select("h", "m", "before", "after", "p.*")
     rows = rows.withColumn("lead", F.when(F.pmod(F.xxhash64("s", "m", F.lit(2)), F.lit(2)) == 0, neutral).otherwise(F.col("before")))
     rows = rows.select("h", F.col("kind").alias("planted"), "good", F.length("lead").alias("at"), F.length("s").alias("size"), F.concat("lead", "s", F.when(F.length("after") > 0, F.col("after")).otherwise(F.lit(" "))).alias("text"))
     c = F.col("c")

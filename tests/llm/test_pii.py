@@ -141,6 +141,17 @@ def test_empty_table_and_no_labels(spark):
     assert P.fit(docs).trees == [] and P.find(docs, P.Trees()).count() == 0
 
 
+def test_planted_texts_are_no_generated_code(spark):
+    # Before, their generated code passed 64 KB: the driver compiled it in vain, with hundreds of MB, and went on without.
+    docs = spark.createDataFrame([("ring +1 (988) 555-2485 or write to a.b@c.org, 4111 1111 1111 1111, 10.1.2.3",)], "text string")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        got = {r.kind for r in P.examples(docs, 5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    assert got == {0, 1, 2, 3}
+
+
 def test_phones_are_proposed_whole(spark):
     numbers = ["5551234567", "5551234", "0171 2345678", "0049 30 12345678", "00493012345678", "(0171) 2345678", "030/1234567", "+49 30 12345678", "+1 (988) 555-2485", "555.123.4567"]
     t = F.col("t")
