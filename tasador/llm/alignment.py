@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import packing
-from .common import written
+from .common import small_batches, written
 from .sentencepiece_codec import MARK, ChunkTable, encode_text
 from .sentencepiece_codec import load as load_pieces
 
@@ -220,7 +220,9 @@ def count_links(aligned: DataFrame, counts: DataFrame, common_pairs: int = 1 <<
                 )
                 row += part.num_rows
 
-    found = written(aligned.select(*[F.col(f"`{f.name}`") for f in rest], "links").mapInArrow(run, f"{kinds}, __row long, n_links long, n_best long, count_sum long, __rare array<long>"), "counted")
+    # A row holds all links of its text: batches of Spark's own length take more than the texts themselves.
+    with small_batches(aligned.sparkSession):
+        found = written(aligned.select(*[F.col(f"`{f.name}`") for f in rest], "links").mapInArrow(run, f"{kinds}, __row long, n_links long, n_best long, count_sum long, __rare array<long>"), "counted")
     rare = found.select("__row", F.explode("__rare").alias("pair")).join(counts, "pair").groupBy("__row").agg(F.count_if("best").alias("b"), F.sum("n").alias("s"))
     zero = F.lit(0)
     return found.drop("__rare").join(rare, "__row", "left").withColumns({"n_best": F.col("n_best") + F.coalesce("b", zero), "count_sum": F.col("count_sum") + F.coalesce("s", zero)}).drop("__row", "b", "s")

@@ -119,3 +119,15 @@ def test_query(spark):
     expected = {d.doc_id: (w[0], w[1], w[2], *w[4:], hashlib.sha256(w[3].encode()).hexdigest() if w[0] else "") for d, w in zip(docs, want([d.text for d in docs]), strict=True)}
     got = {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in QUERIES["op12_alignment"](spark, SF).collect()}
     assert got == expected
+
+
+def test_rows_with_all_their_links_come_in_small_batches(spark, monkeypatch):
+    # Before, 10,000 rows with the links of their texts came at once.
+    from tasador.llm import alignment, queries
+
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    before = spark.conf.get(name)
+    for module in (alignment, queries):
+        monkeypatch.setattr(module, "written", lambda df, table, write=module.written: seen.update({table: int(spark.conf.get(name))}) or write(df, table))
+    assert queries.op12(spark, "/root/testdata/sf0.001").count()
+    assert seen["aligned"] <= 1024 and seen["counted"] <= 1024 and spark.conf.get(name) == before
