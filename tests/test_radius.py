@@ -178,3 +178,19 @@ def test_features_are_joined_before_the_distances(spark):
     df = spark.createDataFrame(rows, "listing_id long, area double, bedrooms long, bathrooms double, balcony_count long, latitude double, longitude double, property_type string")
     plan = build_features(df, df, "listing_id")._jdf.queryExecution().optimizedPlan().toString()
     assert "dist_to_uca" not in plan[plan.index("Join"):]
+
+
+@pytest.mark.parametrize("tile_rows", [4_000_000, 1])
+def test_rows_take_their_columns_through_the_join(spark, tile_rows):
+    # Before, the rows were shuffled a second time to join their points' sums, and so were the sums.
+    from tasador.operators.neighborhood import reference_points
+    from tasador.operators.radius import radius_row_sums
+    refs = _rows(300, 1, dup=20)
+    rows = [(7, "x", -34.65, -58.45), (7, None, -34.65, -58.45), (None, "y", refs[0][2], refs[0][3]), (8, "z", None, -58.45), (9, "w", float("nan"), 1.0), (9, "far", 10.0, 10.0)]
+    t = spark.createDataFrame(rows, "id long, ty string, t_lat double, t_lon double")
+    out = radius_row_sums(t, reference_points(spark.createDataFrame(refs, SCHEMA), 0.0), 2.0, ["n_rows", "s1"], ["id", "ty"], tile_rows=tile_rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Join" in plan) == (tile_rows == 1)
+    want = _brute([(i, 0, r[2] if r[2] == r[2] else None, r[3]) for i, r in enumerate(rows)], refs)
+    got = {(r.id, r.ty): r.n_rows for r in out.collect()}
+    assert len(got) == len(rows) and got == {r[:2]: want[i][0] or None for i, r in enumerate(rows)}
