@@ -43,16 +43,18 @@ def load(ranks_path: str, pattern: str, model_path: str):
     return enc, sp, a, b
 
 
-def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, last_a: np.ndarray, first_b: np.ndarray, last_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, last_a: np.ndarray, first_b: np.ndarray, last_b: np.ndarray, there: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The leaves of intervals [first, last) of tokens, both lists ending together in each:
-    for every leaf the number after its last token of either list, rising."""
+    for every leaf the number after its last token of either list, rising. ``there``, if known: the token
+    of the second list that the last byte of each token of the first lies in."""
     live = np.stack([first_a, last_a, first_b, last_b])
+    there = np.searchsorted(ends_b, ends_a) if there is None else there
     leaves = []
     while live.shape[1]:
         single = (live[1] - live[0] == 1) | (live[3] - live[2] == 1)
         leaves.append(live[[1, 3]][:, single])
         live = live[:, ~single]
-        at, match = middle_cut(ends_a, ends_b, live)
+        at, match = middle_cut(ends_a, ends_b, live, there)
         leaves.append(live[[1, 3]][:, at < 0])
         live, at, match = live[:, at >= 0], at[at >= 0], match[at >= 0]
         live = np.concatenate([np.stack([live[0], at + 1, live[2], match + 1]), np.stack([at + 1, live[1], match + 1, live[3]])], axis=1)
@@ -60,7 +62,7 @@ def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, las
     return np.sort(out[0]), np.sort(out[1])
 
 
-def middle_cut(ends_a: np.ndarray, ends_b: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def middle_cut(ends_a: np.ndarray, ends_b: np.ndarray, live: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each interval a token of the first list, near the middle, whose end the
     second list shares, and the token there; -1 if there is none inside."""
     low, high = live[0], live[1] - 2  # the last token's end closes the interval
@@ -70,7 +72,7 @@ def middle_cut(ends_a: np.ndarray, ends_b: np.ndarray, live: np.ndarray) -> tupl
         i = (low[open_] + high[open_]) // 2 + (step + 1) // 2 * (1 if step % 2 else -1)
         inside = (i >= low[open_]) & (i <= high[open_])
         i = i[inside]
-        here = np.searchsorted(ends_b, ends_a[i])
+        here = there[i]
         shared = ends_b[here] == ends_a[i]
         done = np.flatnonzero(inside)[shared]
         at[open_[done]], match[open_[done]] = i[shared], here[shared]
@@ -81,7 +83,7 @@ def middle_cut(ends_a: np.ndarray, ends_b: np.ndarray, live: np.ndarray) -> tupl
             return at, match
     for k in open_[high[open_] - low[open_] + 1 >= PROBES].tolist():  # shorter ones have been searched
         i = np.arange(low[k], high[k] + 1)
-        here = live[2, k] + np.searchsorted(ends_b[live[2, k] : live[3, k]], ends_a[i])
+        here = there[i]
         shared = np.flatnonzero(ends_b[here] == ends_a[i])
         if len(shared):
             best = shared[np.argmin(np.abs(i[shared] - (low[k] + high[k]) // 2))]
@@ -89,55 +91,78 @@ def middle_cut(ends_a: np.ndarray, ends_b: np.ndarray, live: np.ndarray) -> tupl
     return at, match
 
 
+class Strings:
+    """Byte strings that are joined by their numbers."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.sizes = np.array(list(map(len, strings)), dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The strings of ``numbers`` in a row, and where each ends."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[numbers] - ends + sizes, sizes)
+        at += np.arange(len(at))
+        return self.flat[at].tobytes(), ends
+
+
 class Aligner:
     """Both encoders with the tables for writing groups."""
 
     def __init__(self, ranks_path: str, pattern: str, model_path: str, table_entries: int):
-        self.enc, sp, self.bytes_a, self.bytes_b = load(ranks_path, pattern, model_path)
+        self.enc, sp, a, b = load(ranks_path, pattern, model_path)
         self.chunks = ChunkTable(sp, table_entries)
-        self.size_a, self.size_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
-        number = lambda n, a, b: np.array([b"%d%s" % (i, s) for i in range(n) for s in (a, b)], dtype=object)
-        self.text_a, self.text_b = number(len(self.bytes_a), b",", b"|"), number(len(self.bytes_b), b",", b";")
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of both, none if the bytes of either are not " " + text."""
+        self.bytes_a, self.bytes_b = Strings(a), Strings(b)
+        number = lambda n, a, b: [b"%d%s" % (i, s) for i in range(n) for s in (a, b)]
+        self.numbers = Strings([*number(len(a), b",", b"|"), *number(len(b), b",", b";")])  # of A's ids, then of B's
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The ids of both for each text, none if the bytes of either are not " " + text."""
+        ids = [np.array(self.enc.encode_ordinary(" " + t) if t else [], dtype=np.int64) for t in texts], [encode_text(self.chunks, t).astype(np.int64) for t in texts]
+        want = [b" " + t.encode() if t else b"" for t in texts]
+        for own, strings in zip(ids, (self.bytes_a, self.bytes_b), strict=True):
+            data, ends = strings.joined(np.concatenate(own))
+            stops = np.r_[0, ends][np.cumsum([0, *map(len, own)])].tolist()
+            for k, w in enumerate(want):
+                if data[stops[k] : stops[k + 1]] != w:
+                    want[k] = None
         none = np.empty(0, dtype=np.int64)
-        if not text:
-            return none, none
-        a, b, want = self.enc.encode_ordinary(" " + text), encode_text(self.chunks, text), b" " + text.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != want:
-            return none, none
-        return np.array(a, dtype=np.int64), b.astype(np.int64)
+        return tuple([none if w is None else x for x, w in zip(own, want, strict=True)] for own in ids)
 
     def align(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
         """(n_a, n_b, n_groups, groups, links) of each text."""
-        ids = [self.encode(t) for t in texts]
-        n_a, n_b = (np.array([len(x[k]) for x in ids]) for k in (0, 1))
-        a, b = (np.concatenate([x[k] for x in ids]) for k in (0, 1))
-        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ids = self.encode(texts)
+        n_a, n_b = (np.array([len(x) for x in own]) for own in ids)
+        a, b = (np.concatenate(own) for own in ids)
+        size_a, size_b = self.bytes_a.sizes[a], self.bytes_b.sizes[b]
+        ends_a, ends_b = np.cumsum(size_a), np.cumsum(size_b)
+        # Both lists have the same bytes: the second's token of each byte tells where the first's start and end.
+        of_byte = np.repeat(np.arange(len(b)), size_b)
+        low, high = of_byte[ends_a - size_a], of_byte[ends_a - 1]
         stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
         has = n_a > 0
-        cut_a, cut_b = common_cuts(ends_a, ends_b, (stop_a - n_a)[has], stop_a[has], (stop_b - n_b)[has], stop_b[has])
+        cut_a, cut_b = common_cuts(ends_a, ends_b, (stop_a - n_a)[has], stop_a[has], (stop_b - n_b)[has], stop_b[has], high)
         # each token's place in the written groups: after the tokens of its own list and those of the other list's groups before
         in_a, in_b = (np.repeat(np.arange(len(c)), np.diff(c, prepend=0)) for c in (cut_a, cut_b))
         closes_a, closes_b = (np.r_[x[1:] != x[:-1], True] if len(x) else np.empty(0, bool) for x in (in_a, in_b))
-        out = np.empty(len(a) + len(b), dtype=object)
+        out = np.empty(len(a) + len(b), dtype=np.int64)
         before = np.r_[0, cut_b]
-        out[np.arange(len(a)) + before[in_a]] = self.text_a[a * 2 + closes_a]
-        out[np.arange(len(b)) + cut_a[in_b]] = self.text_b[b * 2 + closes_b]
+        out[np.arange(len(a)) + before[in_a]] = a * 2 + closes_a
+        out[np.arange(len(b)) + cut_a[in_b]] = (len(self.bytes_a.sizes) + b) * 2 + closes_b
+        numbers, ends = self.numbers.joined(out)
+        ends = np.r_[0, ends][np.r_[0, stop_a + stop_b]].tolist()
         # links: a token meets those of the other list from the one its start lies in to the one its end lies in
-        start_a = np.r_[0, ends_a[:-1]]
-        low, high = np.searchsorted(ends_b, start_a, "right"), np.searchsorted(ends_b, ends_a, "left")
         met = high - low + 1
         offset = np.cumsum(met) - met
         partner = np.arange(met.sum()) - np.repeat(offset, met) + np.repeat(low, met)
-        links = (np.repeat(a, met) * len(self.bytes_b) + b[partner]).astype(np.int64)
+        links = (np.repeat(a, met) * len(self.bytes_b.sizes) + b[partner]).astype(np.int64)
         stops = np.r_[0, np.cumsum(met)]
         groups = np.searchsorted(cut_a, stop_a, "right")
         for k in range(len(texts)):
-            first_a, first_b = stop_a[k] - n_a[k], stop_b[k] - n_b[k]
-            text = b"".join(out[first_a + first_b : stop_a[k] + stop_b[k]].tolist())[:-1].decode()
-            yield int(n_a[k]), int(n_b[k]), int(groups[k] - (groups[k - 1] if k else 0)), text, links[stops[first_a] : stops[stop_a[k]]]
+            text = numbers[ends[k] : max(ends[k], ends[k + 1] - 1)].decode()
+            yield int(n_a[k]), int(n_b[k]), int(groups[k] - (groups[k - 1] if k else 0)), text, links[stops[stop_a[k] - n_a[k]] : stops[stop_a[k]]]
 
 
 def align(df: DataFrame, ranks_path: str, pattern: str, model_path: str, key: str = "doc_id", text: str = "text", table_entries: int = 1 << 18) -> DataFrame:

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -62,7 +63,7 @@ def encode_text(table: ChunkTable, text: str) -> np.ndarray:
     if not text:
         return np.empty(0, dtype=np.int32)
     chunks = CHUNK.findall(MARK + text.replace(" ", MARK))
-    table.add({c for c in chunks if c not in table})
+    table.add(set(filterfalse(table.__contains__, chunks)))
     try:
         found = b"".join(map(table.__getitem__, chunks))
     except KeyError:  # the table was begun anew for this text

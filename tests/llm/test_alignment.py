@@ -131,3 +131,20 @@ def test_rows_with_all_their_links_come_in_small_batches(spark, monkeypatch):
         monkeypatch.setattr(module, "written", lambda df, table, write=module.written: seen.update({table: int(spark.conf.get(name))}) or write(df, table))
     assert queries.op12(spark, "/root/testdata/sf0.001").count()
     assert seen["aligned"] <= 1024 and seen["counted"] <= 1024 and spark.conf.get(name) == before
+
+
+def test_bytes_and_groups_are_joined_for_all_texts_together(monkeypatch):
+    # Before, each text's tokens were joined one by one, three times.
+    import public_tokenizers
+    a = A.Aligner(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"), 1 << 10)
+    texts = ["", "Hello  wide world", "caf\u00e9 \u2581 mark", "caf\u00e9 <0x41> \U0001f600", "", "x"]
+    joins, join = [], A.Strings.joined
+    monkeypatch.setattr(A.Strings, "joined", lambda self, n: joins.append(len(n)) or join(self, n))
+    got = list(a.align(texts))
+    assert len(joins) == 3
+    for t, (n_a, n_b, n_groups, groups, links) in zip(texts, got, strict=True):
+        ids = [([int(i) for i in x.split(",")] for x in g.split("|")) for g in groups.split(";")] if groups else []
+        ids = [tuple(g) for g in ids]
+        assert (n_a > 0) == (bool(t) and "\u2581" not in t) and n_groups == len(ids) and len(links) >= max(n_a, n_b)
+        want = (" " + t).encode() if n_a else b""
+        assert b"".join(a.bytes_a.joined(np.array(g[0]))[0] for g in ids) == b"".join(a.bytes_b.joined(np.array(g[1]))[0] for g in ids) == want
