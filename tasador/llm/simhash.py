@@ -159,8 +159,10 @@ def visitors(fps: DataFrame, threshold: int) -> DataFrame:
 
 def near_links(fps: DataFrame, threshold: int) -> DataFrame:
     """(a, b), a < b, for all distinct fingerprints of ``fps`` (fp) that differ
-    in at most ``threshold`` bits: each pair once, at the home anchor of a."""
-    pair = homes(fps).join(visitors(fps, threshold), "anchor")
+    in at most ``threshold`` bits: each pair once, at the home anchor of a.
+
+    Spark sizes the visitors like ``fps``, whose rows they repeat about 61 times, and would broadcast them."""
+    pair = homes(fps).join(visitors(fps, threshold).hint("merge"), "anchor")
     return pair.filter((F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= threshold)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 

@@ -58,6 +58,12 @@ def test_links_of_random_fingerprints(spark, threshold):
     assert len(got) == len(set(got)) and {(min(p), max(p)) for p in got} == want
 
 
+def test_visitors_are_not_broadcast(spark):
+    fps = spark.range(50).withColumnRenamed("id", "fp")  # of a known, small size
+    plan = S.near_links(fps, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 200), (200, 300), (5, 5), (400, 399), (1000, 2000), (2000, 1000)] + [(7000, 7001 + k) for k in range(50)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
