@@ -59,8 +59,8 @@ class LineRuns:
             seen = known[0].select("key")
             for run in known[1:]:
                 seen = seen.unionByName(run.select("key"))
-            new = batch.join(seen, "key", "left_anti").select("key", F.lit(True).alias("new"))
-            batch = batch.join(new, "key", "left").select("key", "docs", F.when(F.col("new"), F.col("holder")).alias("holder"))
+            new = batch.join(seen.hint("merge"), "key", "left_anti").select("key", F.lit(True).alias("new"))
+            batch = batch.join(new.hint("merge"), "key", "left").select("key", "docs", F.when(F.col("new"), F.col("holder")).alias("holder"))
         self.push(0, self.write(batch))
 
     def push(self, level: int, run: DataFrame) -> None:

@@ -179,8 +179,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     prints = written(with_fingerprint(texts, shingle=shingle).drop("text"), "prints")
     fps = written(prints.groupBy("fp").agg(F.min("key").alias("least")), "fps")
     roots = connected_components(near_links(fps, threshold))
-    named = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = fps.join(roots.hint("merge"), fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = written(named, "roots")
     ids = written(named.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
-    groups = written(named.join(ids, "root").select("fp", "component_id"), "groups")
-    return prints.join(groups, "fp").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    groups = written(named.join(ids.hint("merge"), "root").select("fp", "component_id"), "groups")
+    return prints.join(groups.hint("merge"), "fp").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

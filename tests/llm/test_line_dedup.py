@@ -50,6 +50,15 @@ def test_levels_are_compacted(spark):
     assert got == {x: (6 - x, 6) for x in range(6)}
 
 
+def test_known_keys_are_not_broadcast(spark, monkeypatch):
+    plans, write = [], D.LineRuns.write
+    monkeypatch.setattr(D.LineRuns, "write", lambda self, run: plans.append(run._jdf.queryExecution().executedPlan().toString()) or write(self, run))
+    runs = D.LineRuns(spark)
+    for doc in (2, 1):
+        runs.add(spark.range(3).selectExpr("cast(string(id) AS binary) AS key", f"{doc}L AS doc"))
+    assert "SortMergeJoin" in plans[1] and "Broadcast" not in plans[1]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert D.dedup_lines(docs).count() == 0

@@ -64,6 +64,12 @@ def test_visitors_are_not_broadcast(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_groups_are_not_broadcast(spark):
+    docs = spark.range(50).selectExpr("struct(id, 'x') AS doc_id", "string(id) AS text")
+    plan = S.near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 200), (200, 300), (5, 5), (400, 399), (1000, 2000), (2000, 1000)] + [(7000, 7001 + k) for k in range(50)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
