@@ -1,7 +1,9 @@
+import glob
 import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from tasador.llm import collocations as C
@@ -66,5 +68,28 @@ def test_runs_cut_between_pieces():
     assert list(C.runs(b"x" * 100, 1)) == [b"x" * 100] and list(C.runs(b"", 1)) == [b""]
 
 
+def test_few_chunks_are_held_at_once(spark, monkeypatch):
+    """Groups of rows of a file, Arrow batches and batches of the file's reader hold few chunks; settings are as before in the end."""
+    seen, write, names = {}, C.written, list(C.FEW_CHUNKS)
+    before = [spark.conf.get(x) for x in names]
+
+    def spy(df, name, **options):
+        inside = [spark.conf.get(x) for x in names]
+        seen[name] = write(df, name, **options), inside
+        return seen[name][0]
+
+    monkeypatch.setattr(C, "written", spy)
+    monkeypatch.setattr(C, "discard", lambda table: None)
+    monkeypatch.setattr(C, "LARGE_ROWS", C.LARGE_ROWS | {"parquet.block.size": 1 << 10})
+    docs = spark.createDataFrame(rows(), "lang string, text string").coalesce(1)
+    C.collocations(docs, least=4, chunk_words=200)
+    for name in ("occurrences", "relation1", "relation2"):
+        files = [pq.ParquetFile(f) for f in glob.glob(seen[name][0].written_path.removeprefix("file:") + "/*.parquet")]
+        assert sum(f.metadata.num_rows for f in files) > 5
+        assert all(f.metadata.row_group(k).num_rows == 1 for f in files for k in range(f.num_row_groups))
+    assert all(seen[x][1] == list(C.FEW_CHUNKS.values()) for x in ("words", "relation1", "relation2", "kept2", "kept3"))
+    assert [spark.conf.get(x) for x in names] == before
+
+
 def test_empty_table(spark):
     assert C.collocations(spark.createDataFrame([], "text string, lang string")).count() == 0
